@@ -54,11 +54,11 @@ _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.ui
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The identifier of the bucket whose halves have the identifiers a and b."""
-    x = (a * _A) ^ (b << np.uint64(31) | b >> np.uint64(33))
+    x = a * _A
+    x += b
+    x ^= x >> np.uint64(32)
     x *= _B
     x ^= x >> np.uint64(29)
-    x *= _C
-    x ^= x >> np.uint64(32)
     return x
 
 
@@ -68,20 +68,20 @@ def refine(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in (1, 2, 4):  # buckets of 2, 4, 8 bytes: the bytes themselves
         h = h[:-k] | h[k:] << np.uint64(8 * k)
     h16 = mix(h[:-8], h[8:])
+    h16 *= _C
     h32 = mix(h16[:-16], h16[16:])
     return h16, mix(h32[: len(h32) - (LENGTH - 32)], h32[LENGTH - 32 :])
 
 
 def least(h: np.ndarray, width: int) -> np.ndarray:
-    """Place of the first least value among ``width`` ones from each place on."""
-    value, place, span = h, np.arange(len(h), dtype=np.int64), 1
+    """Place of the first least value (by its upper half) among ``width`` ones from each place on."""
+    value = h & np.uint64(0xFFFFFFFF00000000) | np.arange(len(h), dtype=np.uint64)
+    span = 1
     while span < width:
         step = min(span, width - span)
-        later = value[step:] < value[:-step]
-        place = np.where(later, place[step:], place[:-step])
-        value = np.where(later, value[step:], value[:-step])
+        value = np.minimum(value[:-step], value[step:])
         span += step
-    return place
+    return (value & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 class Scan:
@@ -111,15 +111,16 @@ class Scan:
                 at = to - LENGTH + 1
             i = j
         self.left, self.right, self.doc, key, context, before, after = (np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(found, (np.int64, np.int64, np.int64, np.uint64, np.uint32, np.uint16, np.uint16)))
-        bucket = key % np.uint64(buckets)
         doc_id = self.ids[self.doc]
-        order = np.lexsort((doc_id, after, before, context, key, bucket))
-        cols = [x[order] for x in (bucket, key, context, before, after)]
+        whole = context.astype(np.uint64) << np.uint64(32) | before.astype(np.uint64) << np.uint64(16) | after
+        # anchors come in the documents' order, which a stable sort keeps
+        order = np.lexsort((whole, key) if (np.diff(self.ids) >= 0).all() else (doc_id, whole, key))
+        k, w = key[order], whole[order]
         new = np.ones(len(order), bool)
-        if len(order):
-            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+        new[1:] = (k[1:] != k[:-1]) | (w[1:] != w[:-1])
         first = np.flatnonzero(new)
-        self.bucket, self.key, self.context, self.before, self.after = (c[first] for c in cols)
+        self.key, self.context, self.before, self.after = (x[order[first]] for x in (key, context, before, after))
+        self.bucket = bucket_of(self.key, buckets)
         self.least_id = doc_id[order][first]
         self.of_least = order[first]  # an anchor with the least document
         self.posting = np.zeros(len(order), np.int64)  # of each anchor
@@ -131,10 +132,12 @@ class Scan:
         h16, h = refine(data)
         self.h[off : off + len(h)] = h
         place = least(h16, LENGTH - Q + 1)[: len(h)]
-        p = np.arange(at, to - LENGTH + 1)
-        doc = i + np.searchsorted(self.ends[i:j], p, side="right")
-        ok = p + LENGTH <= self.ends[doc]
-        p, doc = p[ok], doc[ok]
+        # strings that start in each document of the slice and end in it
+        ends = np.minimum(self.ends[i:j], to)
+        starts = np.maximum(np.concatenate([[lo], self.ends[i : j - 1]]), at)
+        n = np.maximum(ends - starts - LENGTH + 1, 0)
+        doc = np.repeat(np.arange(i, j), n)
+        p = np.arange(int(n.sum())) + np.repeat(starts - np.cumsum(n) + n, n)
         anchor = place[p - off]
         new = np.ones(len(p), bool)
         if len(p):
@@ -156,13 +159,18 @@ class Scan:
         """Single strings of the contested postings, by bucket, key and identifier: those, the document, posting and start of each."""
         anchors = self.of_least[contested]
         n = self.right[anchors] - self.left[anchors] + 1
-        row = np.repeat(np.arange(len(anchors)), n)
+        row = np.repeat(np.arange(len(anchors)), n)  # keys ascend, and so do buckets
         start = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + self.left[anchors][row]
         key = self.key[contested][row]
         string, posting = self.h[start], contested[row]
-        bucket, doc_id = key % np.uint64(buckets), self.least_id[contested][row]
-        order = np.lexsort((start, doc_id, string, key, bucket))
-        return bucket[order], key[order], string[order], doc_id[order], posting[order], start[order]
+        doc_id = self.least_id[contested][row]
+        order = np.lexsort((start, doc_id, string, key))
+        return bucket_of(key, buckets)[order], key[order], string[order], doc_id[order], posting[order], start[order]
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets of 48-bit keys, in the keys' order."""
+    return (key >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -194,11 +202,11 @@ def by_bucket(bucket: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, by
 
 def settle(key: np.ndarray, context: np.ndarray, before: np.ndarray, after: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of all postings of a bucket: which are repeats of a lesser document's context, and which must be refined to strings."""
-    order = np.lexsort((doc, after, before, context, key))
-    cols = [x[order] for x in (key, context, before, after)]
+    whole = context.astype(np.uint64) << np.uint64(32) | before.astype(np.uint64) << np.uint64(16) | after
+    order = np.lexsort((doc, whole, key))
+    cols = [x[order] for x in (key, whole, before, after)]
     d = doc[order]
-    same = np.logical_and.reduce([c[1:] == c[:-1] for c in cols])
-    new = np.append(True, ~same) if len(order) else np.zeros(0, bool)
+    new = np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])) if len(order) else np.zeros(0, bool)
     first = np.flatnonzero(new)
     owner = d[first]  # of each distinct context the least document
     repeat = np.zeros(len(order), bool)
