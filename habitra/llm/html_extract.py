@@ -147,7 +147,7 @@ def features(page: list[Block]) -> tuple[list[list[int]], list[list[int]], np.nd
         some = w if len(w) <= 40 else w[:20] + w[-20:]  # a bounded sample for the label only; the text is kept whole
         words.append([_bucket(x.strip(".,;:!?()\"'"), WORD_BUCKETS) for x in some])
         stops = b.text.count(".") + b.text.count("!") + b.text.count("?")
-        measures[i] = (np.log1p(len(w)) / 5, b.linked, min(1.0, 5 * stops / max(len(w), 1)), i / n, before / total, sizes[i] / total, min(1.0, np.log1p(n) / 6), b.text[-1] in ".!?:…\"'”)", "©" in b.text or "|" in b.text or "»" in b.text)
+        measures[i] = (np.log1p(len(w)) / 5, b.linked, min(1.0, 5 * stops / max(len(w), 1)), i / n, before / total, sizes[i] / total, min(1.0, np.log1p(n) / 6), b.text[-1] in ".!?:…\"'”)", "©" in b.text)
         before += sizes[i]
     return paths, words, measures
 
