@@ -1,0 +1 @@
+"""Geospatial observations, raster time series and model-ready feature tables on PySpark."""
