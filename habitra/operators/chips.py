@@ -131,5 +131,5 @@ def centre_crop(pixels: DataFrame, height: int, width: int) -> DataFrame:
 def centre_subset(pixels: DataFrame, height: int, width: int, share: float, compat: bool = False) -> DataFrame:
     """The central ``share`` of each side; with ``compat`` that share is cut off instead of kept."""
     cut = (share if compat else 1 - share) / 2
-    dy, dx = int(height * cut), int(width * cut)
+    dy, dx = int(height * cut + 1e-9), int(width * cut + 1e-9)
     return pixels.where(F.col("y").between(dy, height - dy - 1) & F.col("x").between(dx, width - dx - 1))

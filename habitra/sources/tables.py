@@ -37,7 +37,7 @@ def feature_folders(spark: SparkSession, root: str, schemas: dict[str, str]) ->
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:
     """Rows of all tables by column names; a column that one lacks is NULL there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [t.select("*") for t in tables])
 
 
 def write_features(df: DataFrame, path: str, keys: Sequence[str] = ("cluster", "year")) -> None:
