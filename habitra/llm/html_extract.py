@@ -41,7 +41,7 @@ CELLS = 60_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea|iframe)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|([^<]++|<)",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)>|<[!?/][^>]*+>|([^<]++|<)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(class|id|role|aria-label|style|hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
