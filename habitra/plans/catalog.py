@@ -53,8 +53,8 @@ for _how in (*_AGG, "mode"):
     )
     add(
         f"temporal_agg_{_how}",
-        lambda s, d, how=_how: rounded(chips.temporal_aggregate(rounded(chips.spatial_aggregate(S.pixels(s, d), "mean"), "value"), how), "value"),
-        f"SELECT chip, band, round(value, 6) AS value FROM ({_grouped('(SELECT chip, ts, band, round(avg(value), 6) AS value FROM pixels GROUP BY ALL)', 'chip, band', _how)})",
+        lambda s, d, how=_how: rounded(chips.temporal_aggregate(rounded(chips.spatial_aggregate(S.pixels(s, d), "mean"), "value"), how), "value", digits=9),
+        f"SELECT chip, band, round(value, 9) AS value FROM ({_grouped('(SELECT chip, ts, band, round(avg(value), 6) AS value FROM pixels GROUP BY ALL)', 'chip, band', _how)})",
     )
 
 _SERIES = "+ series AS (SELECT chip, ts, band, avg(value) AS value FROM pixels GROUP BY ALL)"
@@ -77,10 +77,10 @@ add(
 )
 add(
     "feat_seasonal_contiguous",
-    lambda s, d: rounded(chips.sliced(chips.spatial_aggregate(S.pixels(s, d), "mean"), "seasonal", "mean", contiguous=True), "value"),
+    lambda s, d: rounded(chips.sliced(chips.spatial_aggregate(S.pixels(s, d), "mean"), "seasonal", "mean", contiguous=True), "value", digits=9),
     f"""{_SERIES}, m AS (SELECT *, {_SLICE["seasonal"]} AS slice FROM series),
     w AS (SELECT chip, slice, min(ts) AS lo, max(ts) AS hi FROM m GROUP BY ALL)
-    SELECT k.chip, k.band, k.slice, round(avg(m.value), 6) AS value
+    SELECT k.chip, k.band, k.slice, round(avg(m.value), 9) AS value
     FROM (SELECT chip, band, n.slice FROM (SELECT DISTINCT chip, band FROM series), (VALUES ('s_jfm'), ('s_amj'), ('s_jas'), ('s_ond')) AS n(slice)) k
     LEFT JOIN w ON w.chip = k.chip AND w.slice = k.slice LEFT JOIN m ON m.chip = k.chip AND m.band = k.band AND m.ts BETWEEN w.lo AND w.hi GROUP BY ALL""",
 )
@@ -132,7 +132,6 @@ add(
 )
 
 # indices and water
-_REFL = "(CASE WHEN TRUE THEN {b} END * 0.0000275e0 - 0.2e0)"
 add(
     "dn_to_reflectance",
     lambda s, d: S.scenes(s, d).select("l_orderkey", "l_linenumber", *[F.round(raster.reflectance(F.col(b) * 10), 6).alias(b) for b in S.BANDS]),
@@ -358,7 +357,7 @@ def chip_range_join(s: SparkSession, d: str) -> DataFrame:
 add(
     "chip_range_join",
     chip_range_join,
-    _UTM_SQL + "SELECT a.id AS point, count(*) AS n, sum(b.id) AS total FROM utm a JOIN utm b ON b.px BETWEEN a.px - 1500 AND a.px + 1500 AND b.py BETWEEN a.py - 1500 AND a.py + 1500 WHERE a.id % 50 = 0 GROUP BY a.id",
+    _UTM_SQL + "SELECT a.id AS point, count(*) AS n, CAST(sum(b.id) AS BIGINT) AS total FROM utm a JOIN utm b ON b.px BETWEEN a.px - 1500 AND a.px + 1500 AND b.py BETWEEN a.py - 1500 AND a.py + 1500 WHERE a.id % 50 = 0 GROUP BY a.id",
 )
 add(
     "resume_antijoin",
@@ -432,7 +431,6 @@ add(
 
 # the gold table
 _tables = lambda s, d: [gold.keep_last(S.feat_a(s, d), "gbifid", "seq").drop("seq"), S.feat_b(s, d), S.feat_c(s, d).drop("zone")]
-_GOLD_SQL = "+ a AS (SELECT gbifid, price, zone FROM feat_a WHERE seq = 1), gold AS (SELECT gbifid, price, zone, quantity, discount, year, occurrencestatus FROM a JOIN feat_b USING (gbifid) JOIN feat_c c2 USING (gbifid))"
 _GOLD_SQL = "+ a AS (SELECT gbifid, price, zone FROM feat_a WHERE seq = 1), gold AS (SELECT a.gbifid, a.price, a.zone, b.quantity, b.discount, c.year, c.occurrencestatus FROM a JOIN feat_b b ON a.gbifid = b.gbifid JOIN feat_c c ON a.gbifid = c.gbifid)"
 add("dedup_keep_last", lambda s, d: gold.keep_last(S.feat_a(s, d), "gbifid", "seq"), "SELECT gbifid, price, zone, seq FROM feat_a WHERE seq = 1")
 add("intersect_ids", lambda s, d: gold.common_ids([S.feat_a(s, d), S.feat_b(s, d), S.feat_c(s, d)], "gbifid"), "SELECT gbifid FROM feat_a INTERSECT SELECT gbifid FROM feat_b INTERSECT SELECT gbifid FROM feat_c")
@@ -506,7 +504,6 @@ def assemble_predictions(s: SparkSession, d: str) -> DataFrame:
 add("assemble_predictions", assemble_predictions, "SELECT id, year, " + ", ".join(f"CASE WHEN species = 'sp{k}' THEN (id % 100) / 100.0e0 END AS sp{k}" for k in (1, 2, 3)) + " FROM obs")
 
 # strings and names
-_table = lambda name: lambda s, d: S.read(s, d, name)
 add("string_normalize", lambda s, d: S.read(s, d, "part").select("p_partkey", text.normalise(F.concat(F.lit("  "), F.upper("p_name"), F.lit(" "))).alias("name")), "SELECT p_partkey, replace(lower(trim('  ' || upper(p_name) || ' ')), ' ', '_') AS name FROM part")
 add("slugify", lambda s, d: S.read(s, d, "part").select("p_partkey", text.slug(F.concat_ws(" ", "p_name", "p_brand", "p_type"), 31).alias("slug")), "SELECT p_partkey, substr(lower(replace(p_name || ' ' || p_brand || ' ' || p_type, ' ', '_')), 1, 31) AS slug FROM part")
 add("json_params", lambda s, d: S.read(s, d, "events").select("event_id", F.from_json("props", "k INT")["k"].alias("k")), "SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")
