@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,14 +21,35 @@ def shared_dir(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", "") or LOCAL_SHARED).rstrip("/")
 
 
-def materialise(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later stages start from files that outlive executors."""
+_scratch: list[list[str]] = []
+
+
+def materialise(df: DataFrame, name: str, compression: str = "zstd", stays: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: later stages start from files that outlive executors.
+
+    Within ``scratch`` the table goes when that ends, unless it ``stays``.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/habitra/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    if _scratch and not stays:
+        _scratch[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written within are removed at the end; what is kept must be written itself, to stay."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in _scratch.pop():
+            p = hadoop.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,6 +59,15 @@ def text_of(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFra
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *more)
 
 
+def release() -> None:
+    """Give freed memory back: idle workers stay beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[str, list] | None]], schema: str | T.StructType, rows: int = 1000) -> DataFrame:
     """``df`` through a function of Arrow batches of at most ``rows`` rows; ``make`` runs once in each task and returns the function."""
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
@@ -50,6 +82,9 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
                 cols = f(batch.slice(at, rows))
                 if cols is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(cols[x.name], type=x.type) if not isinstance(cols[x.name], pa.Array) else cols[x.name].cast(x.type) for x in arrow], schema=arrow)
+            batch = None
+        del f
+        release()
 
     return df.mapInArrow(run, kind)
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from habitra.llm.common import map_batches, strings, text_of
+from habitra.llm.common import map_batches, release, strings, text_of
 
 BUCKETS = 2048
 RANK = 8
@@ -74,7 +74,7 @@ class Features:
             try:
                 ids = [self.bucket[w] for w in words]
             except KeyError:
-                if len(self.bucket) > 500_000:
+                if len(self.bucket) > 100_000:
                     self.bucket.clear()
                 for w in set(words).difference(self.bucket):
                     self.bucket[w] = xxhash.xxh3_64_intdigest(w) % self.buckets
@@ -180,5 +180,7 @@ def keep(df: DataFrame, machine: FactorisationMachine, threshold: float = THRESH
                 part = batch.slice(at, 500)
                 good = sent.value.score(features.rows(strings(part, text_col))) >= threshold
                 yield part.filter(pa.array(good))
+        del features
+        release()
 
     return df.mapInArrow(run, df.schema)

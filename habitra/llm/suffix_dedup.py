@@ -39,15 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from habitra.llm.common import materialise
+from habitra.llm.common import materialise, release
 
 LENGTH = 50
 Q = 16
 SIDE = (LENGTH - Q) // 2  # a string holds at least so many bytes on one side of its anchor
 #: Bytes of text in a block (a longer document makes its own), in a slice of the scan, and behind a bucket of postings.
-BLOCK_BYTES = 4 << 20
-SLICE_BYTES = 1 << 20
-BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+BUCKET_BYTES = 12 << 20
 NO_ID = (1 << 63) - 1
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -296,6 +296,8 @@ def _answers(postings: DataFrame, types: tuple[type, ...], decide, columns: tupl
         ends = np.cumsum([len(x[0]) for x in lists])
         verdicts = decide(*(np.concatenate(c) for c in zip(*lists)))
         cut = [[np.packbits(v[e - len(x[0]) : e]).tobytes() for x, e in zip(lists, ends)] for v in verdicts]
+        del lists, verdicts
+        release()
         return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"]} | dict(zip(columns, cut)))
 
     told = postings.groupBy("bucket").applyInPandas(run, "block long, bucket long, " + ", ".join(f"{c} binary" for c in columns))
@@ -338,6 +340,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
             out = rows_of((r["block"], by_bucket(scan.bucket, scan.key, scan.context, scan.before, scan.after, scan.least_id)))
             if out:
                 yield out
+        release()
 
     def contested(scan: Scan, parts: list[dict] | None) -> np.ndarray:
         return np.flatnonzero(_verdict(parts, _counts(scan.bucket), "contested"))
@@ -349,6 +352,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
             out = rows_of((r["block"], by_bucket(bucket, key, string, doc)))
             if out:
                 yield out
+        release()
 
     shape = "bucket long, block long, data binary"
     told = materialise(_answers(blocks.select("block", "data").mapInArrow(first, shape), (np.uint64, np.uint32, np.uint16, np.uint16, np.int64), settle, ("repeat", "contested")), "verdicts")
@@ -392,6 +396,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                 begin = end
             cols = [*batch.columns, pa.array(spans, arrow.field("removed_spans").type), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
+        release()
 
     joined = blocks.select("block", "data").join(told, "block", "left").join(strings, "block", "left")
     return joined.mapInArrow(last, out)
