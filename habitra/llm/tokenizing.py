@@ -176,10 +176,12 @@ def _pattern(compiled=[]):  # noqa: B006  compiled once in each worker
 class ChunkEncoder:
     """The tokenizers library's ids of whole texts, with each distinct chunk encoded once.
 
-    Chunks end at ASCII white space, and in plain ASCII texts also between
-    letters or digits and other signs.  The tokenizer must drop white space,
-    lower-case its text and never join signs across these borders, as word-level
-    files do; ASCII capitals are then lowered before, for fewer distinct chunks.
+    In a text of ASCII and Latin-1 letters the chunks are the tokenizer's own
+    words (runs of letters, digits, runs of other signs), lowered here, and the
+    library's model splits each; with an apostrophe, other signs or what may be a
+    special token the chunks end at white space, and go through the whole
+    tokenizer.  The tokenizer must drop white space, lower-case its text and
+    never join signs across these borders, as word-level files do.
     """
 
     def __init__(self, path: str):
@@ -190,42 +192,53 @@ class ChunkEncoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        if "Lowercase" not in str(spec["normalizer"]) or "Removed" not in str(spec["pre_tokenizer"]):
+        if "Lowercase" not in str(spec["normalizer"]) or "Removed" not in str(spec["pre_tokenizer"]) or "ByteLevel" not in str(spec["pre_tokenizer"]):
             raise ValueError(f"{path}: not a tokenizer that lower-cases and drops white space")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: dict[bytes, bytes] = {}
-        self.fine = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9\s]+")
-
-    def chunks(self, text: str) -> list[bytes]:
+        self.model = self.tokenizer.model
+        self.words: dict[bytes, bytes] = {}
+        self.chunks: dict[bytes, bytes] = {}
+        self.word = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[^a-z0-9\x80-\xff\s]+")
+        self.other = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]")
+        self.stand_in = {b: c for c, b in byte_alphabet().items()}
+
+    def cut(self, text: str) -> tuple[bool, list[bytes]]:
+        """Whether the chunks are words, and the chunks."""
         raw = text.encode()
         if b"<|" in raw:  # may be a special token, whose case counts
-            return raw.split()
+            return False, raw.split()
         raw = raw.lower()
-        if b"'" not in raw and text.isascii():
-            return self.fine.findall(raw)
-        return raw.split()
+        if b"'" not in raw and (text.isascii() or not self.other.search(text)):
+            return True, self.word.findall(raw)
+        return False, raw.split()
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.chunks(t) for t in texts]
-        out = []
-        for words in cut:
+        cuts = [self.cut(t) for t in texts]
+        out: list[bytes] = []
+        for are_words, chunks in cuts:
+            known = self.words if are_words else self.chunks
             try:
-                out.append(b"".join([self.cache[w] for w in words]))
+                out.append(b"".join([known[w] for w in chunks]))
             except KeyError:
-                self._learn(cut if not out else cut[len(out) : len(out) + 256])
-                out.append(b"".join([self.cache[w] for w in words]))
+                self._learn(cuts if not out else cuts[len(out) : len(out) + 256])
+                out.append(b"".join([known[w] for w in chunks]))
         return out
 
-    def _learn(self, cut: list[list[bytes]]) -> None:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        new = list(set().union(*cut).difference(self.cache))
+    def _learn(self, cuts: list[tuple[bool, list[bytes]]]) -> None:
+        if len(self.words) + len(self.chunks) > CACHE_WORDS:
+            self.words.clear()
+            self.chunks.clear()
+        tokenize, stand_in, pack = self.model.tokenize, self.stand_in, struct.pack
+        for w in set().union(*[c for are_words, c in cuts if are_words]).difference(self.words):
+            low = w.decode("latin-1") if w.isascii() else w.decode().lower().encode().decode("latin-1")
+            ids = [t.id for t in tokenize(low.translate(stand_in))]
+            self.words[w] = pack(f"<{len(ids)}I", *ids)
+        new = list(set().union(*[c for are_words, c in cuts if not are_words]).difference(self.chunks))
         for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            ids = e.ids
-            self.cache[w] = struct.pack(f"<{len(ids)}I", *ids)
+            self.chunks[w] = pack(f"<{len(e.ids)}I", *e.ids)
 
 
 _made: dict[tuple[type, str], object] = {}
