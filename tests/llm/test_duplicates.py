@@ -161,3 +161,23 @@ def test_edited_odd_rows(odd, none):
     one = odd.where("doc_id = 8")
     assert merkle.compare_edited(merkle.with_next(one)).first().near_next == 1.0
     assert merkle.compare_edited(merkle.with_next(none)).count() == 0
+
+
+@pytest.mark.parametrize("hot", [3, 48])
+def test_near_copies_against_all_pairs(spark, monkeypatch, hot):
+    """Groups of copies with more and more words changed, through hot buckets and without."""
+    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    g = np.random.default_rng(9)
+    texts = {}
+    for base in range(3):
+        words = [f"w{x}" for x in g.integers(0, 5000, 300)]
+        for k in range(25):
+            own = list(words)
+            for at in g.integers(0, 300, k // 3):
+                own[at] = f"n{g.integers(0, 10**9)}"
+            texts[base * 100 + k] = " ".join(own)
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(296)} for i, t in texts.items()}
+    want = brute_groups(texts, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert kept == set(want.values())
