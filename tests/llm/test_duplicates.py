@@ -181,3 +181,45 @@ def test_near_copies_against_all_pairs(spark, monkeypatch, hot):
     want = brute_groups(texts, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
     kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert kept == set(want.values())
+
+
+def test_near_copies_count_a_repeated_shingle_once(spark):
+    """A line of 20 words: ten times and once in a copy, and forty times in two texts that differ otherwise."""
+    g = np.random.default_rng(11)
+    words = lambda n: [f"w{x}" for x in g.integers(0, 10**6, n)]
+    line, body = words(20), words(320)
+    once = [*body[:160], *line, *body[160:]]
+    often = [*body[:160], *line * 10, *body[160:]]
+
+    def between(own):
+        return [w for k in range(40) for w in (*own[k * 20 : k * 20 + 20], *line)]
+
+    texts = {1: once, 2: often, 11: between(words(820)), 12: between(words(820))}
+    sets = {i: {tuple(t[k : k + 5]) for k in range(len(t) - 4)} for i, t in texts.items()}
+    alike = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(texts, 2)}
+    assert alike[1, 2] >= 0.8 and alike[11, 12] < 0.5
+    print1, print2 = (int.from_bytes(simhash.fingerprint(" ".join(texts[i]), 5, 9), "big") for i in (1, 2))
+    assert (print1 ^ print2).bit_count() > 130  # by fingerprints that count repeats these two never meet
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect()}
+    assert kept == {1, 11, 12}
+
+
+@pytest.mark.parametrize("hot", [3, 48])
+def test_close_fingerprints_link_by_their_sets_only(spark, monkeypatch, hot):
+    """All fingerprints nearly alike: only the sets tell the groups."""
+    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    g = np.random.default_rng(5)
+    texts = {}
+    for k in range(40):
+        own = [f"b{k % 4}w{x}" for x in range(100)]
+        for at in range(k // 8 + k % 3):
+            own[at * 5] = f"n{k}x{at}"
+        texts[k + 1] = " ".join(own)
+    rows = [(i, bytes(72 - 2) + int(g.integers(1, 2**16)).to_bytes(2, "big")) for i in texts]
+    monkeypatch.setattr(simhash, "fingerprints", lambda df, *a, **k: spark.createDataFrame(rows, "doc_id long, fp binary"))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(96)} for i, t in texts.items()}
+    want = brute_groups(texts, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    assert 4 < len(set(want.values())) < 40
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert kept == set(want.values())
