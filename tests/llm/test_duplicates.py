@@ -223,3 +223,15 @@ def test_close_fingerprints_link_by_their_sets_only(spark, monkeypatch, hot):
     assert 4 < len(set(want.values())) < 40
     kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     assert kept == set(want.values())
+
+
+def test_pairs_of_many_bits_are_settled_by_their_sets(spark, monkeypatch):
+    """A pair at a Jaccard of 0.8 may differ in more bits than the mean by up to 5 deviations."""
+    words = [f"w{x}" for x in range(340)]
+    near = [*words[:305], *[f"n{x}" for x in range(35)]]
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (words, near)]
+    assert 0.8 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.82
+    texts = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(f"x{k}" for k in range(340)))]
+    rows = [(1, bytes(72)), (2, bytes(57) + b"\xff" * 15), (3, bytes(57) + b"\x0f" * 15)]  # 120, 60 and 60 bits apart
+    monkeypatch.setattr(simhash, "fingerprints", lambda df, *a, **k: spark.createDataFrame(rows, "doc_id long, fp binary"))
+    assert {r.doc_id for r in simhash.keep_one(spark.createDataFrame(texts, "doc_id long, text string")).collect()} == {1, 3}
