@@ -221,8 +221,8 @@ def settle(key: np.ndarray, context: np.ndarray, before: np.ndarray, after: np.n
         np.maximum.at(hi, group, o)
         open_[pair] |= (lo[group] != hi[group]) & (s != 0)
     contested = np.zeros(len(order), bool)
-    contested[order[first]] = open_
-    # several blocks may hold an owner's context if doc_ids repeat; the first one refines it
+    # several blocks may hold an owner's context if doc_ids repeat or are null; each refines its own
+    contested[order] = (open_[np.cumsum(new) - 1] & (d == owner[np.cumsum(new) - 1])) if len(order) else False
     return repeat, contested
 
 

@@ -235,3 +235,16 @@ def test_pairs_of_many_bits_are_settled_by_their_sets(spark, monkeypatch):
     rows = [(1, bytes(72)), (2, bytes(57) + b"\xff" * 15), (3, bytes(57) + b"\x0f" * 15)]  # 120, 60 and 60 bits apart
     monkeypatch.setattr(simhash, "fingerprints", lambda df, *a, **k: spark.createDataFrame(rows, "doc_id long, fp binary"))
     assert {r.doc_id for r in simhash.keep_one(spark.createDataFrame(texts, "doc_id long, text string")).collect()} == {1, 3}
+
+
+@pytest.mark.parametrize("ids", [(7, 7), (None, None)])
+def test_repeated_and_null_ids_in_other_blocks(spark, monkeypatch, ids):
+    """Rows of one id in different blocks lose the edges of a passage that a lesser document has in part."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 400)
+    g = np.random.default_rng(2)
+    text = lambda n: "".join(map(chr, g.integers(97, 123, n)))
+    passages = [text(130) for _ in range(12)]
+    rows = [(1, "".join(text(40) + p[:90] for p in passages))]
+    rows += [(i, "".join(text(40) + p for p in passages)) for i in ids] + [(ids[0], "".join(p[10:] + text(30) for p in passages))]
+    got = sorted(((r.doc_id, bytes(r.kept_bytes)) for r in suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(1)).collect()), key=str)
+    assert got == sorted(brute_repeats([(i, t.encode()) for i, t in rows]), key=str)
