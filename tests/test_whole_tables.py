@@ -19,3 +19,13 @@ def test_a_chip_for_every_point(spark, sf):
         want[r.id] = (int(near.sum()), int(ids[near].sum()))
     assert len(want) == spark.read.parquet(f"{sf}/orders.parquet").count()
     assert {r.point: (r.n, r.total) for r in catalog.QUERIES["chip_range_join_all"](spark, sf).collect()} == want
+
+
+def test_mean_distance_of_every_point(spark, sf):
+    rows, x, y = places(spark, sf)
+    species = np.array([r.species for r in rows])
+    got = {r.id: (r.species, r.mean_euclidean_dist) for r in catalog.QUERIES["pairwise_mean_distance_all"](spark, sf).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        own = species == r.species
+        assert got[r.id][0] == r.species and abs(got[r.id][1] - np.hypot(x[own] - r.x, y[own] - r.y).mean()) < 0.006
