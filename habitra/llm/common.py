@@ -6,22 +6,27 @@ import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Used only where the session names no shared folder, as in local tests.
+#: Used only where the session names no shared folder and all runs in one process, as in local tests.
 LOCAL_SHARED = "/tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``."""
-    return (spark.conf.get("spark.checkpoint.dir", "") or LOCAL_SHARED).rstrip("/")
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a cluster must name one."""
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if not named and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (named or LOCAL_SHARED).rstrip("/")
 
 
-_scratch: list[list[str]] = []
+#: Lists of the tables that the open ``scratch`` blocks of this thread have written, innermost last.
+_scratch: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
 
 
 def materialise(df: DataFrame, name: str, compression: str = "zstd", stays: bool = False) -> DataFrame:
@@ -32,20 +37,22 @@ def materialise(df: DataFrame, name: str, compression: str = "zstd", stays: bool
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/habitra/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
-    if _scratch and not stays:
-        _scratch[-1].append(path)
+    if _scratch.get() and not stays:
+        _scratch.get()[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables written within are removed at the end; what is kept must be written itself, to stay."""
-    _scratch.append([])
+    paths: list[str] = []
+    token = _scratch.set((*_scratch.get(), paths))
     try:
         yield
     finally:
+        _scratch.reset(token)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        for path in _scratch.pop():
+        for path in paths:
             p = hadoop.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
