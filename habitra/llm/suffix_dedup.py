@@ -44,10 +44,13 @@ from habitra.llm.common import materialise, release
 LENGTH = 50
 Q = 16
 SIDE = (LENGTH - Q) // 2  # a string holds at least so many bytes on one side of its anchor
-#: Bytes of text in a block (a longer document makes its own), in a slice of the scan, and behind a bucket of postings.
+#: Least bytes of text in a block (a longer document makes its own) and behind a bucket of postings, up to ``GROWTH`` times as many
+#: with the square root of the input beyond ``SMALL_INPUT``: there are blocks times buckets pieces.  And bytes of a slice of the scan.
 BLOCK_BYTES = 2 << 20
-SLICE_BYTES = 1 << 19
 BUCKET_BYTES = 12 << 20
+SMALL_INPUT = 1 << 30
+GROWTH = 4
+SLICE_BYTES = 1 << 19
 NO_ID = (1 << 63) - 1
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -226,8 +229,15 @@ def settle(key: np.ndarray, context: np.ndarray, before: np.ndarray, after: np.n
     return repeat, contested
 
 
+def grown(least: int, total: int) -> int:
+    """The size of a block or bucket for so many bytes of input."""
+    return int(least * min(GROWTH, max(1.0, (total / SMALL_INPUT) ** 0.5)))
+
+
 def _blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Whole rows in blocks as Arrow streams, in the shared folder: ``block``, ``bytes`` (of text), ``data``."""
+    # the planner's estimate, from the sizes of the files: any block size gives the same result
+    block_bytes = grown(BLOCK_BYTES, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -246,12 +256,12 @@ def _blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
             at = 0
             while at < batch.num_rows:
-                fits = int(np.searchsorted(np.cumsum(lengths[at:]), max(BLOCK_BYTES - size, 1), side="left")) + 1
+                fits = int(np.searchsorted(np.cumsum(lengths[at:]), max(block_bytes - size, 1), side="left")) + 1
                 to = min(batch.num_rows, at + fits)
                 held.append(batch.slice(at, to - at))
                 size += int(lengths[at:to].sum())
                 at = to
-                if size >= BLOCK_BYTES:
+                if size >= block_bytes:
                     yield row()
                     held, size, k = [], 0, k + 1
         if held:
@@ -321,7 +331,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     """
     blocks = _blocks(df, id_col, text_col)
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
-    names = _Names(id_col, text_col, max(1, -(-total // BUCKET_BYTES)))
+    names = _Names(id_col, text_col, max(1, -(-total // grown(BUCKET_BYTES, total))))
 
     def rows_of(bucketed) -> pa.RecordBatch | None:
         rows = list(bucketed[1])

@@ -116,6 +116,11 @@ def test_repeats_odd_rows(odd, none):
     assert kept.columns == odd.columns and kept.where("doc_id = 2 AND text IS NULL").count() == 1
 
 
+def test_pieces_grow_with_the_square_root():
+    sizes = [suffix_dedup.grown(suffix_dedup.BLOCK_BYTES, t << 30) >> 20 for t in (0, 1, 4, 16, 10**5)]
+    assert sizes == [2, 2, 4, 8, 8]
+
+
 def test_cuts_keep_whole_characters():
     text = "aé日b".encode()
     assert suffix_dedup.whole_characters(text, [[2, 5]]) == [[3, 3]] or suffix_dedup.whole_characters(text, [[2, 5]]) == []
@@ -163,11 +168,12 @@ def test_edited_odd_rows(odd, none):
     assert merkle.compare_edited(merkle.with_next(none)).count() == 0
 
 
-@pytest.mark.parametrize("hot", [3, 48])
-def test_near_copies_against_all_pairs(spark, monkeypatch, hot):
-    """Groups of copies with more and more words changed, through hot buckets and without."""
+@pytest.mark.parametrize(("hot", "shingles"), [(3, 1 << 20), (48, 1 << 20), (3, 1500), (48, 1500)])
+def test_near_copies_against_all_pairs(spark, monkeypatch, hot, shingles):
+    """Groups of copies with more and more words changed, through hot buckets and large groups and without."""
     monkeypatch.setattr(simhash, "HOT", hot)
     monkeypatch.setattr(simhash, "BLOCK", 16)
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", shingles)
     g = np.random.default_rng(9)
     texts = {}
     for base in range(3):
@@ -204,6 +210,45 @@ def test_near_copies_count_a_repeated_shingle_once(spark):
     assert kept == {1, 11, 12}
 
 
+def test_a_line_that_repeats(spark):
+    """Once or many times is nearly the same set; a line that two texts repeat doesn't make them alike."""
+    g = np.random.default_rng(21)
+    words = lambda n: [f"w{x}" for x in g.integers(0, 10**6, n)]
+    body, line = words(300), words(8)
+    texts = {1: [*body, *line], 2: [*body, *line * 10], 3: [*body, *line * 100], 11: [*line * 100, *words(20)], 12: [*line * 100, *words(20)]}
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")).collect()}
+    assert kept == {1, 11, 12}
+
+
+def test_recall_by_similarity(spark):
+    """Pairs of texts of 25 to 600 words, each with one near copy: of those of 0.8 or more at least 0.98 are found, of others none."""
+    g = np.random.default_rng(4)
+    texts, want = {}, {}
+    for k in range(600):
+        n = int(g.choice([25, 60, 200, 600]))
+        own = [f"w{x}" for x in g.integers(0, 10**7, n)]
+        other = list(own)
+        for at in range(int(g.integers(0, 1 + n // 25))):
+            other[int(g.integers(0, n))] = f"n{k}x{at}"
+        a, b = ({tuple(t[i : i + 5]) for i in range(n - 4)} for t in (own, other))
+        texts[2 * k], texts[2 * k + 1] = " ".join(own), " ".join(other)
+        want[2 * k + 1] = len(a & b) / len(a | b)
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    near = [i for i, j in want.items() if j >= 0.8]
+    assert {i for i, j in want.items() if j < 0.8} <= kept and len(near) > 200
+    assert len(kept & set(near)) <= 0.02 * len(near)
+    edge = [i for i in near if want[i] < 0.85]
+    assert len(edge) > 50 and len(kept & set(edge)) <= 0.05 * len(edge)
+
+
+def test_one_row_of_a_repeated_id(spark):
+    """Texts of one id count as one group, and the least by its text stays, however the rows are dealt."""
+    rows = [(5, "b " * 30, 1), (5, "a " * 30, 2), (9, "a " * 30, 3), (9, "z y x w v u t", 4), (None, "a " * 30, 5)]
+    for parts in (1, 4):
+        got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, __id int").withColumnRenamed("__id", "c").repartition(parts)).collect()
+        assert sorted((str(r.doc_id), r.c) for r in got) == [("5", 2), ("None", 5)]
+
+
 @pytest.mark.parametrize("hot", [3, 48])
 def test_close_fingerprints_link_by_their_sets_only(spark, monkeypatch, hot):
     """All fingerprints nearly alike: only the sets tell the groups."""
