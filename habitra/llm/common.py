@@ -89,12 +89,23 @@ def release() -> None:
         pass
 
 
+#: Rows that JVM and Python hand each other at a time.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches from here on: each is held whole on both sides, and documents are long rows."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict[str, list] | None]], schema: str | T.StructType, rows: int = 1000) -> DataFrame:
     """``df`` through a function of Arrow batches of at most ``rows`` rows; ``make`` runs once in each task and returns the function."""
     kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(kind, prefers_large_types=False)
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from habitra.llm.common import map_batches, release, strings, text_of
+from habitra.llm.common import map_batches, release, small_batches, strings, text_of
 
 BUCKETS = 2048
 RANK = 8
@@ -172,6 +172,7 @@ def score(df: DataFrame, machine: FactorisationMachine, id_col: str = "doc_id",
 def keep(df: DataFrame, machine: FactorisationMachine, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, whose text scores ``threshold`` or more."""
     sent = df.sparkSession.sparkContext.broadcast(machine)
+    small_batches(df.sparkSession)
 
     def run(batches):
         features = Features(sent.value.linear.shape[0] - N_STATS)

@@ -29,7 +29,7 @@ strings within one document stay; an empty table gives an empty result.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from habitra.llm.common import materialise, release
+from habitra.llm.common import materialise, release, small_batches
 
 LENGTH = 50
 Q = 16
@@ -236,6 +236,7 @@ def grown(least: int, total: int) -> int:
 
 def _blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Whole rows in blocks as Arrow streams, in the shared folder: ``block``, ``bytes`` (of text), ``data``."""
+    small_batches(df.sparkSession)
     # the planner's estimate, from the sizes of the files: any block size gives the same result
     block_bytes = grown(BLOCK_BYTES, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
 
@@ -323,12 +324,11 @@ def _strings_repeat(key: np.ndarray, string: np.ndarray, doc: np.ndarray) -> tup
     return (out,)
 
 
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df``, all columns, with ``removed_spans`` (of the UTF-8 bytes, start and end) and ``kept_bytes``.
+Spans = list[list[int]]
 
-    Removed is every byte covered by a ``LENGTH``-byte string that also starts in a
-    document with a lesser id, judged on the input.  The columns may not be named so already.
-    """
+
+def _searched(df: DataFrame, id_col: str, text_col: str, out: T.StructType, finish: Callable[[pa.RecordBatch, list[bytes], list[Spans]], list[pa.Array]]) -> DataFrame:
+    """Rows of type ``out`` that ``finish`` makes of a block's rows, its texts' bytes and the spans to remove from each."""
     blocks = _blocks(df, id_col, text_col)
     total = blocks.agg(F.sum("bytes")).first()[0] or 0
     names = _Names(id_col, text_col, max(1, -(-total // grown(BUCKET_BYTES, total))))
@@ -369,8 +369,6 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     refined = blocks.select("block", "data").join(told, "block").mapInArrow(second, shape)
     strings = _answers(refined, (np.uint64, np.uint64, np.int64), _strings_repeat, ("repeat",)).withColumnRenamed("parts", "strings")
 
-    out = T.StructType([*df.withColumns({id_col: F.col(id_col).cast("long"), text_col: F.col(text_col).cast("string")}).schema, T.StructField("removed_spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept_bytes", T.BinaryType())])
-
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -397,28 +395,47 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + LENGTH, -1)
             covered = np.cumsum(gone[:-1]) > 0
-            spans, kept, begin = [], [], 0
-            for text, end in zip(texts, scan.ends.tolist()):
-                c = covered[begin:end]
-                edges = np.flatnonzero(np.diff(c, prepend=False, append=False)).reshape(-1, 2).tolist()
-                spans.append([{"start": s, "end": e} for s, e in edges])
-                kept.append(without(text, edges))
+            spans, begin = [], 0
+            for end in scan.ends.tolist():
+                spans.append(np.flatnonzero(np.diff(covered[begin:end], prepend=False, append=False)).reshape(-1, 2).tolist())
                 begin = end
-            cols = [*batch.columns, pa.array(spans, arrow.field("removed_spans").type), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
+            del scan, gone, covered
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(finish(batch, texts, spans), arrow)], schema=arrow)
         release()
 
     joined = blocks.select("block", "data").join(told, "block", "left").join(strings, "block", "left")
     return joined.mapInArrow(last, out)
 
 
-def without(text: bytes, spans: list[list[int]]) -> bytes:
+def _typed(df: DataFrame, id_col: str, text_col: str) -> T.StructType:
+    return df.withColumns({id_col: F.col(id_col).cast("long"), text_col: F.col(text_col).cast("string")}).schema
+
+
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", spans_col: str = "removed_spans", kept_col: str = "kept_bytes") -> DataFrame:
+    """The rows of ``df``, all columns, with the removed spans (of the UTF-8 bytes, start and end) and the bytes kept.
+
+    Removed is every byte covered by a ``LENGTH``-byte string that also starts in a
+    document with a lesser id, judged on the input.  A column of ``df`` that is
+    named like one of the two new ones gives way to it.
+    """
+    given = df.drop(spans_col, kept_col)
+    spans_type = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    out = T.StructType([*_typed(given, id_col, text_col), T.StructField(spans_col, spans_type), T.StructField(kept_col, T.BinaryType())])
+
+    def finish(batch: pa.RecordBatch, texts: list[bytes], spans: list[Spans]) -> list[pa.Array]:
+        named = pa.array([[{"start": s, "end": e} for s, e in x] for x in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+        return [*batch.columns, named, pa.array([without(t, x) for t, x in zip(texts, spans)], pa.binary())]
+
+    return _searched(given, id_col, text_col, out, finish)
+
+
+def without(text: bytes, spans: Spans) -> bytes:
     """The bytes outside the spans."""
     cuts = [0, *[x for s in spans for x in s], len(text)]
     return b"".join(text[s:e] for s, e in zip(cuts[::2], cuts[1::2]))
 
 
-def whole_characters(text: bytes, spans: list[list[int]]) -> list[list[int]]:
+def whole_characters(text: bytes, spans: Spans) -> Spans:
     """The spans without code points that they hold in part only."""
     inner = lambda i: i < len(text) and text[i] & 0xC0 == 0x80
     out = []
@@ -434,17 +451,13 @@ def whole_characters(text: bytes, spans: list[list[int]]) -> list[list[int]]:
 
 def strip_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str | None = "n_chars") -> DataFrame:
     """The rows of ``df``, its columns only, with repeats cut from the text; characters that a repeat holds in part stay, and ``n_chars`` follows the text."""
-    found = dedup(df, id_col, text_col)
-    columns = df.columns
+    out = _typed(df, id_col, text_col)
+    k = df.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(text_col).cast(pa.binary()).to_pylist()
-            spans = [[[x["start"], x["end"]] for x in s] for s in b.column("removed_spans").to_pylist()]
-            cut = [t if t is None or not s else without(t, whole_characters(t, s)) for t, s in zip(texts, spans)]
-            k = b.schema.get_field_index(text_col)
-            yield b.set_column(k, b.schema.field(k), pa.array(cut, pa.binary()).cast(pa.string())).select(columns)
-
-    kind = found.select(*columns).schema
-    out = found.mapInArrow(run, kind)
-    return out if n_chars_col not in columns else out.withColumn(n_chars_col, F.length(text_col).cast(kind[n_chars_col].dataType))
+    def finish(batch: pa.RecordBatch, texts: list[bytes], spans: list[Spans]) -> list[pa.Array]:
+        null = batch.column(k).is_null().to_pylist()
+        cut = [None if n else without(t, whole_characters(t, x)) if x else t for t, x, n in zip(texts, spans, null)]
+        return [pa.array(cut, pa.binary()).cast(pa.string()) if i == k else c for i, c in enumerate(batch.columns)]
+
+    found = _searched(df, id_col, text_col, out, finish)
+    return found if n_chars_col not in df.columns else found.withColumn(n_chars_col, F.length(text_col).cast(out[n_chars_col].dataType))
