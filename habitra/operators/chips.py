@@ -128,6 +128,44 @@ def centre_crop(pixels: DataFrame, height: int, width: int) -> DataFrame:
     return pixels.where(F.col("y").between(dy, height - dy - 1) & F.col("x").between(dx, width - dx - 1))
 
 
+def centre_crop_each(pixels: DataFrame) -> DataFrame:
+    """The same for chips of any sizes, each by its own height and width, counted from its least row and column."""
+    sides = pixels.groupBy("chip").agg(F.min("y").alias("_y"), F.min("x").alias("_x"), (F.max("y") - F.min("y") + 1).alias("_h"), (F.max("x") - F.min("x") + 1).alias("_w"))
+    cut = lambda n: F.floor((F.col(n) - F.least("_h", "_w")) / 2)
+    within = lambda c, low, n: (F.col(c) - F.col(low)).between(cut(n), F.col(n) - cut(n) - 1)
+    return pixels.join(sides, "chip").where(within("y", "_y", "_h") & within("x", "_x", "_w")).drop("_y", "_x", "_h", "_w")
+
+
+def resample(pixels: DataFrame, step: float, to: float) -> DataFrame:
+    """Pixels of a regular grid (``x, y`` are centres, ``step`` apart) at the centres of a grid of step ``to``: the value of the pixel that a centre lies in.
+
+    Both grids start at 0; a finer target repeats values, a coarser one leaves some out.
+    """
+    first = lambda c: F.ceil((F.col(c) - step / 2) / to - 0.5).cast("long")
+    last = lambda c: (F.ceil((F.col(c) + step / 2) / to - 0.5) - 1).cast("long")
+    centres = lambda c: F.explode(F.when(first(c) <= last(c), F.sequence(first(c), last(c))))
+    out = pixels.withColumn("_i", centres("x")).withColumn("_j", centres("y"))
+    return out.withColumns({"x": (F.col("_i") + 0.5) * to, "y": (F.col("_j") + 0.5) * to}).drop("_i", "_j")
+
+
+def nearest_box(pixels: DataFrame, box: tuple[float, float, float, float], margin: int = 0) -> DataFrame:
+    """Pixels from the coordinates nearest to the box' lower ends to before those nearest to its upper ends, on both axes.
+
+    Spans of fewer than five steps are widened by one on both sides, then all
+    by the margin; the grid's ends bound both.  Of two coordinates that are
+    equally near the lesser one counts.  The axes, not the pixels, are numbered.
+    """
+    out = pixels
+    for axis, low, high in (("x", box[0], box[2]), ("y", box[1], box[3])):
+        places = pixels.select(F.col(axis).alias("_v")).distinct().withColumn("_i", F.row_number().over(Window.orderBy("_v")) - 1)
+        near = lambda v: F.min_by("_i", F.struct(F.abs(F.col("_v") - F.lit(v)), "_v"))
+        ends = places.agg(near(low).alias("_a"), near(high).alias("_b"))  # one row
+        wide = F.when(F.col("_b") - F.col("_a") < 5, margin + 1).otherwise(margin)
+        taken = places.crossJoin(F.broadcast(ends)).where((F.col("_i") >= F.col("_a") - wide) & (F.col("_i") < F.col("_b") + wide)).select("_v")
+        out = out.join(taken, F.col(axis) == F.col("_v"), "left_semi")
+    return out
+
+
 def centre_subset(pixels: DataFrame, height: int, width: int, share: float, compat: bool = False) -> DataFrame:
     """The central ``share`` of each side; with ``compat`` that share is cut off instead of kept."""
     cut = (share if compat else 1 - share) / 2

@@ -26,6 +26,23 @@ def annual(monthly: DataFrame, how: str, by: Sequence[str] = ("variable",)) -> D
     return w.groupBy(*by, "year").agg((F.try_divide(total, seen) if how == "mean" else total).alias("value"))
 
 
+def annual_each(monthly: DataFrame, how: dict[str, str], band: str = "band") -> DataFrame:
+    """``annual`` of several variables at once, each with its own function; names in lower case, other variables left out."""
+    ways = {k.lower(): v for k, v in how.items()}
+    named = monthly.withColumn(band, F.lower(band)).where(F.lower(band).isin(*ways))
+    both = [annual(named.where(F.col(band).isin(*[k for k, v in ways.items() if (v == "mean") == mean])), "mean" if mean else "sum", (band,)) for mean in (True, False)]
+    return both[0].unionByName(both[1])
+
+
+def nearest_point(points: DataFrame, grid: DataFrame, key: str, width: float, names: tuple[str, str] = ("grid_lon", "grid_lat")) -> DataFrame:
+    """The key of each point and the coordinates ``lon, lat`` of a regular grid that are nearest to it on each axis."""
+    out = points.select(key)
+    for axis, name in zip(("lon", "lat"), names):
+        places = grid.select(F.col(axis).alias(name)).distinct()
+        out = out.join(nearest_pixel(points.select(key, axis), places, name, axis, key, width), key)
+    return out
+
+
 def nearest_pixel(points: DataFrame, axis: DataFrame, coord: str, point: str, key: str, width: float) -> DataFrame:
     """Each point with the nearest coordinate of a regular axis, the lesser one on a tie.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 
@@ -48,12 +48,39 @@ def gold(tables: Sequence[DataFrame], key: str = "gbifid", nans: str = "drop", f
     return out.withColumnsRenamed(renames or {})
 
 
+#: Rows of a sample for each range of ``numbered``.
+RANGE_SAMPLE = 20
+
+
+def _range_of(key: Column, bounds: Sequence[Column]) -> Column:
+    """How many of the ascending bounds are at most the key, by halving."""
+
+    def between(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key < bounds[mid], between(lo, mid)).otherwise(between(mid + 1, hi))
+
+    return between(0, len(bounds))
+
+
 def numbered(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
-    """Rows numbered from 0 in an order, by ranges: counts of each range, then ranks within, so no task sees all rows."""
+    """Rows numbered from 0 in an order, nulls first, by ranges: counts of each range, then ranks within, so no task sees all rows.
+
+    The ranges' bounds are values of the table, fixed before both passes, so a
+    row's range depends on the row alone.  They come from at most
+    ``RANGE_SAMPLE`` rows a range, those with the least hashes.
+    """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
-    ranked = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    counts = ranked.groupBy("_p").agg(F.max("_r").alias("_n"))  # one row for each range
+    keys = df.select(*order)
+    sample: list[Row] = keys.orderBy(F.xxhash64(*order)).limit(RANGE_SAMPLE * n).collect()  # bounded by the session's partitions
+    kinds = [f.dataType for f in keys.schema]
+    local = spark.createDataFrame(sample, keys.schema).orderBy(*order).collect() if sample else []
+    cuts = list(dict.fromkeys(tuple(r) for r in local[RANGE_SAMPLE::RANGE_SAMPLE]))
+    literal = lambda r: F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(r, kinds, order)])
+    dealt = df.withColumn("_p", _range_of(F.struct(*[F.col(c) for c in order]), [literal(r) for r in cuts]))
+    counts = dealt.groupBy("_p").agg(F.count("*").alias("_n"))  # one row for each range
     before = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    ranked = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     return ranked.join(F.broadcast(before), "_p").withColumn(out, F.col("_r") + F.col("_b") - 1).drop("_p", "_r", "_b")

@@ -48,20 +48,20 @@ def adaptive(points: DataFrame, cell: float = 0.1, min_area: float = 1e-4, most:
     """
     deep = depth_of(cell, min_area)
     held = paths(points, cell, min_area)
-    counts = held.select(F.posexplode("paths").alias("depth", "path")).groupBy("depth", "path").agg(F.count("*").alias("n"))
+    cells = held.groupBy("paths").agg(F.count("*").alias("n"))  # the deepest cells; the upper ones are summed from them
+    counts = cells.select("n", F.posexplode("paths").alias("depth", "path")).groupBy("depth", "path").agg(F.sum("n").alias("n"))
     over = counts.where(F.col("n") > most)
     means = over.groupBy("depth").agg(F.avg("n").alias("m"))
     one = means.agg(F.map_from_entries(F.collect_list(F.struct("depth", "m"))).alias("by"))  # one entry for each depth
     at = lambda d: F.try_element_at(F.col("by"), F.lit(d))
     stop = F.coalesce(*[F.when(at(t) >= at(t - 1), t) for t in range(2, deep + 1)], F.lit(deep)) if deep >= 2 else F.lit(deep)
     cap = one.select(stop.alias("_cap"))
-    # cells that are too full and may be halved; all points below them go on
-    full = over.select("depth", "path").crossJoin(F.broadcast(cap)).where(F.col("depth") < F.col("_cap"))
-    keyed = held.select("*", F.posexplode("paths").alias("_depth", "_path"))
-    deepest = keyed.join(full.select(F.col("depth").alias("_depth"), F.col("path").alias("_path"), F.lit(1).alias("_full")), ["_depth", "_path"], "left")
-    columns = [c for c in points.columns]
-    level = deepest.groupBy(*columns).agg(F.first("paths").alias("paths"), F.min(F.when(F.col("_full").isNull(), F.col("_depth"))).alias("_level"))
-    return level.select(*columns, F.get("paths", F.col("_level")).alias("cell"))
+    # cells that are too full and may be halved, by their top cell: at most 4 ** depth to each, and their points go on
+    full = over.crossJoin(F.broadcast(cap)).where(F.col("depth") < F.col("_cap"))
+    tops = full.groupBy(F.substring_index("path", "__", 1).alias("_top")).agg(F.collect_set("path").alias("_full"))
+    below = held.withColumn("_top", F.get("paths", F.lit(0))).join(tops, "_top", "left")
+    stays = F.filter("paths", lambda p: ~F.coalesce(F.array_contains(F.col("_full"), p), F.lit(False)))
+    return below.select(*points.columns, F.get(stays, F.lit(0)).alias("cell"))
 
 
 def resume(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,15 +93,50 @@ def train(df: DataFrame, features: Sequence[str], target: str, trees: int = 20,
     return Pipeline(stages=stages).fit(df)
 
 
-def tune(df: DataFrame, features: Sequence[str], target: str, depths: Sequence[int] = (3, 5), rates: Sequence[float] = (0.05, 0.1), folds: int = 5, trees: int = 20, seed: int = 1) -> tuple[PipelineModel, list[dict]]:
-    """The best model of a grid by cross-validation over folds of equal class shares, and each trial's parameters and metric."""
+#: What is searched, each between two ends, evenly or in logarithms: the leaves of a tree (as its depth, their logarithm), the rate of
+#: learning, the least rows of a leaf, and two brakes: the share of rows and of gain that a tree or split needs.
+SPACE = {"maxDepth": (5, 6, "int"), "stepSize": (0.08, 0.2, "log"), "minInstancesPerNode": (40, 300, "int"), "subsamplingRate": (0.5, 1.0, "even"), "minInfoGain": (1e-4, 1e-2, "log")}
+
+
+def draw(space: dict[str, tuple[float, float, str]], evaluations: int, seed: int) -> list[dict[str, float]]:
+    """Settings drawn at random from a space of (low, high, way) by parameter; the same seed gives the same ones."""
+    r = random.Random(seed)
+    ways = {"int": lambda a, b: r.randint(int(a), int(b)), "log": lambda a, b: math.exp(r.uniform(math.log(a), math.log(b))), "even": r.uniform}
+    return [{name: ways[way](a, b) for name, (a, b, way) in space.items()} for _ in range(evaluations)]
+
+
+def stratified_folds(df: DataFrame, target: str, folds: int, key: str | None = None, out: str = "fold") -> DataFrame:
+    """Folds from 0 with equal shares of each class, to one row: numbers in hash order by class, modulo folds.
+
+    The order is by the hash of ``key``, or of all columns.
+    """
+    by = F.xxhash64(key) if key else F.xxhash64(*df.columns)
+    ranked = numbered(df.withColumns({"_t": F.col(target), "_h": by}), ["_t", "_h"], "_i")
+    return ranked.withColumn(out, (F.col("_i") % folds).cast("int")).drop("_t", "_h", "_i")
+
+
+def tune(df: DataFrame, features: Sequence[str], target: str, depths: Sequence[int] = (), rates: Sequence[float] = (), evaluations: int = 4, folds: int = 5, trees: int = 20, seed: int = 1, space: dict[str, tuple[float, float, str]] = SPACE) -> tuple[PipelineModel, list[dict]]:
+    """The best model by cross-validated log loss over stratified folds, and each trial's settings and metric.
+
+    Tried are ``evaluations`` random settings of the space, or the grid of
+    ``depths`` and ``rates`` if these are given.
+    """
     model = GBTClassifier(labelCol=target, featuresCol="features", maxIter=trees, seed=seed)
-    grid = ParamGridBuilder().addGrid(model.maxDepth, list(depths)).addGrid(model.stepSize, list(rates)).build()
+    drawn = [{"maxDepth": a, "stepSize": b} for a in depths for b in rates] if depths and rates else draw(space, evaluations, seed)
+    grid = [{model.getParam(k): v for k, v in x.items()} for x in drawn]
     stages = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep"), model])
-    folded = df.withColumn("fold", F.pmod(F.xxhash64(*features), F.lit(folds)).cast("int"))
-    found = CrossValidator(estimator=stages, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=target), numFolds=folds, foldCol="fold").fit(folded)
-    trials = [{p.name: v for p, v in g.items()} | {"metric": m} for g, m in zip(grid, found.avgMetrics)]
-    return found.bestModel, trials
+    folded = stratified_folds(df.select(*features, target), target, folds)
+    loss = MulticlassClassificationEvaluator(labelCol=target, metricName="logLoss")
+    found = CrossValidator(estimator=stages, estimatorParamMaps=grid, evaluator=loss, numFolds=folds, foldCol="fold").fit(folded)
+    return found.bestModel, [x | {"metric": m} for x, m in zip(drawn, found.avgMetrics)]
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
 
 
 def score(df: DataFrame, model: PipelineModel, keep: Sequence[str]) -> DataFrame:

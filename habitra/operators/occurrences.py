@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from habitra.functions.geo import in_ring
+from habitra.functions.geo import in_ring, in_rings
 from habitra.functions.nulls import half_even
 
 #: How good a source is, by the basis of its records.
@@ -41,27 +41,31 @@ def quality_rank(basis: Column, ranks: dict[str, int] = QUALITY_RANKS) -> Column
     return F.when(rank.isNull(), F.raise_error(F.concat(F.lit("unknown basis of record: "), F.coalesce(basis, F.lit("NULL")))).cast("int")).otherwise(rank)
 
 
-#: Regions up to this many go to all executors; more are met by grid cells.
-SMALL_REGIONS = 2000
+#: Up to this many regions, with so many corners (16 bytes each) together, go to all executors; more are met by grid cells.
+SMALL_REGIONS, SMALL_CORNERS = 2000, 500_000
 
 
 def spatial_join(points: DataFrame, regions: DataFrame, key: str | None = None, values: Sequence | None = None, cell: float = 0.5) -> DataFrame:
-    """Points with the columns of every region (``minx, miny, maxx, maxy, ring``) that holds them, borders included.
+    """Points with the columns of every region that holds them, borders included.
 
-    A filter on the regions' key goes before the join.  A count of the regions
-    decides the plan: few are broadcast; else boxes are spread over grid cells
-    of ``cell`` degrees and the join is by cell.
+    A region has ``minx, miny, maxx, maxy`` and ``ring``, or ``rings`` of several
+    parts and holes (``sources.vector``).  A filter on the regions' key goes
+    before the join.  Regions and corners are counted: few are broadcast; else boxes are spread over grid cells of ``cell`` degrees and the
+    join is by cell.  Both plans give the same rows.
     """
     if key is not None and values is not None:
         regions = regions.where(F.col(key).isin(*values))
+    several = "rings" in regions.columns
+    corners = F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r)) if several else F.size("ring")
     boxed = F.col("lon").between(F.col("minx"), F.col("maxx")) & F.col("lat").between(F.col("miny"), F.col("maxy"))
-    if regions.limit(SMALL_REGIONS + 1).count() <= SMALL_REGIONS:
+    held, total = regions.agg(F.count("*"), F.coalesce(F.sum(corners), F.lit(0))).first()
+    if held <= SMALL_REGIONS and total <= SMALL_CORNERS:
         met = points.join(F.broadcast(regions), boxed)
     else:
         at = lambda c: F.floor(F.col(c) / F.lit(cell)).cast("long")
         spread = regions.select("*", F.explode(F.sequence(at("minx"), at("maxx"))).alias("_cx")).select("*", F.explode(F.sequence(at("miny"), at("maxy"))).alias("_cy"))
         met = points.withColumns({"_cx": at("lon"), "_cy": at("lat")}).join(spread, ["_cx", "_cy"]).where(boxed).drop("_cx", "_cy")
-    return met.where(in_ring(F.col("lon"), F.col("lat"), F.col("ring")))
+    return met.where(in_rings(F.col("lon"), F.col("lat"), F.col("rings")) if several else in_ring(F.col("lon"), F.col("lat"), F.col("ring")))
 
 
 def subsample(points: DataFrame, step: float = 60.0, rank: str = "source_quality_rank", key: str = "id") -> DataFrame:
@@ -93,28 +97,51 @@ def hash_order(key: Column) -> Column:
     return F.md5(key.cast("string"))
 
 
+def first_in_hash_order(df: DataFrame, limit: Callable[[Column], Column], by: Sequence[str], key: str) -> DataFrame:
+    """Of each group the rows that come first in hash order, then by key, as many as ``limit`` says of its number of rows.
+
+    Rows are counted by group and the first three digits of their hashes; only
+    the one part of a group that holds the border is ranked row by row, so a
+    group is never sorted in one task.
+    """
+    hashed = df.withColumn("_h", hash_order(F.col(key))).withColumn("_d", F.substring("_h", 1, 3))
+    parts = hashed.groupBy(*by, "_d").agg(F.count("*").alias("_n"))  # at most 4096 rows for each group
+    upto = Window.partitionBy(*by).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    sums = parts.withColumns({"_b": F.coalesce(F.sum("_n").over(upto), F.lit(0)), "_most": limit(F.sum("_n").over(Window.partitionBy(*by)))})
+    taken = sums.where("_b < _most").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col("_d").alias("_e"), F.col("_b"), F.when(F.col("_b") + F.col("_n") > F.col("_most"), F.col("_most") - F.col("_b")).alias("_some"))
+    met = hashed.join(taken, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)] + [F.col("_d") == F.col("_e")])
+    whole = met.where("_some IS NULL").select(*df.columns)
+    rank = F.row_number().over(Window.partitionBy(*by, "_d").orderBy("_h", key))
+    border = met.where("_some IS NOT NULL").withColumn("_r", rank).where("_r <= _some").select(*df.columns)
+    return whole.unionByName(border)
+
+
 def sample_fraction(df: DataFrame, fraction: float, by: Sequence[str], key: str = "id") -> DataFrame:
     """In each group the first half-even-rounded ``fraction`` of the rows in hash order."""
-    n = F.bround(F.count("*").over(Window.partitionBy(*by)) * fraction, 0)
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(hash_order(F.col(key)), key))
-    return df.withColumns({"_n": n, "_r": rank}).where("_r <= _n").drop("_n", "_r")
+    return first_in_hash_order(df, lambda n: F.bround(n * fraction, 0).cast("long"), by, key)
 
 
-def sample_per_group(df: DataFrame, n: int | Column, by: Sequence[str], key: str) -> DataFrame:
+def sample_per_group(df: DataFrame, n: int, by: Sequence[str], key: str) -> DataFrame:
     """In each group the first ``n`` rows in hash order."""
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(hash_order(F.col(key)), key))
-    return df.withColumn("_r", rank).where(F.col("_r") <= n).drop("_r")
+    return first_in_hash_order(df, lambda _: F.lit(n).cast("long"), by, key)
+
+
+#: Points of a group that meet as many others in a task.
+PAIR_BLOCK = 20_000
 
 
 def mean_distance(points: DataFrame, by: str = "species", key: str = "id") -> DataFrame:
     """For each point the mean distance to all points of its group, itself included.
 
-    Pairs stream from the join into partial sums; large groups split under adaptive skew joins.
+    Large groups are dealt in blocks, each of them against each, so that no
+    task compares a whole group; pairs stream into partial sums.
     """
-    a = points.select(by, key, "x", "y")
-    b = points.select(by, F.col("x").alias("_x"), F.col("y").alias("_y"))
+    sizes = points.groupBy(by).agg(F.ceil(F.count("*") / F.lit(PAIR_BLOCK)).cast("int").alias("_blocks"))
+    dealt = points.select(by, key, "x", "y").join(sizes, by).withColumn("_i", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int"))
+    a = dealt.select(by, key, "x", "y", "_i", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_j"))
+    b = dealt.select(by, F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("_i").alias("_j"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_i"))
     d = F.sqrt(F.pow(F.col("x") - F.col("_x"), 2) + F.pow(F.col("y") - F.col("_y"), 2))
-    return a.join(b, by).groupBy(by, key).agg(F.avg(d).alias("mean_euclidean_dist"))
+    return a.join(b, [by, "_i", "_j"]).groupBy(by, key).agg(F.avg(d).alias("mean_euclidean_dist"))
 
 
 def group_numbers(df: DataFrame, by: Sequence[str], order: str, out: str) -> DataFrame:
@@ -129,15 +156,24 @@ def semi_species(points: DataFrame, species: DataFrame) -> DataFrame:
     return points.join(species.select("species"), "species", "left_semi")
 
 
-def pseudo_absences(points: DataFrame, species: DataFrame, candidates: DataFrame, key: str = "id") -> DataFrame:
+def pseudo_absences(points: DataFrame, species: DataFrame, candidates: DataFrame, key: str = "id", short: str = "raise") -> DataFrame:
     """For each candidate as many rows of the other species of its bin as it has observations, in hash order, relabelled as its absences.
 
-    ``species`` has ``species, candidate``; ``candidates`` also ``obs``.
+    ``species`` has ``species, candidate``; ``candidates`` also ``obs``.  Where
+    the other species have too few rows, that raises; ``short="keep"`` takes all
+    there are.
     """
     others = candidates.select("candidate", F.col("species").alias("target"), "obs").join(species.select("species", "candidate"), "candidate").where(F.col("species") != F.col("target"))
-    pool = points.join(others.select("species", "target", "obs"), "species")
-    rank = F.row_number().over(Window.partitionBy("target").orderBy(hash_order(F.col(key)), key))
-    return pool.withColumn("_r", rank).where(F.col("_r") <= F.col("obs")).drop("_r", "species", "obs").withColumnRenamed("target", "species").withColumn("status", F.lit("ABSENT"))
+    if short == "raise":
+        held = points.groupBy("species").agg(F.count("*").alias("n")).join(others, "species").groupBy("target").agg(F.sum("n").alias("n"))
+        missing = candidates.select(F.col("species").alias("target"), "obs").join(held, "target", "left").where(F.coalesce("n", F.lit(0)) < F.col("obs")).limit(5).collect()
+        if missing:
+            raise ValueError(f"too few rows of other species for the absences of {sorted(r['target'] for r in missing)}")
+    elif short != "keep":
+        raise ValueError(f"unknown way with too few rows: {short!r}")
+    pool = points.join(others.select("species", "target", F.col("obs").alias("_obs")), "species")
+    first = first_in_hash_order(pool, lambda _: F.col("_obs"), ["target", "_obs"], key)
+    return first.drop("species", "_obs").withColumnRenamed("target", "species").withColumn("status", F.lit("ABSENT"))
 
 
 def presence_absence(presence: DataFrame, absence: DataFrame) -> DataFrame:

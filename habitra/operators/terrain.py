@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from habitra.operators.chips import centre_crop_each
 
 def gradients(grid: DataFrame, cell: float = 1.0) -> DataFrame:
     """``chip, y, x, value, dx, dy`` with Horn's weights, for cells whose nine neighbours all have values.
@@ -39,8 +40,13 @@ def aspect(dx: Column, dy: Column, transform: str | None = None) -> Column:
 
 
 def features(grid: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Means of elevation, slope and northness of each chip: ``nasadem_{elevation,slope,aspect}_total``."""
-    height = grid.groupBy("chip").agg(F.avg("value").alias("nasadem_elevation_total"))
-    g = gradients(grid, cell)
-    rest = g.groupBy("chip").agg(F.avg(slope(F.col("dx"), F.col("dy"))).alias("nasadem_slope_total"), F.avg(aspect(F.col("dx"), F.col("dy"), "cos")).alias("nasadem_aspect_total"))
-    return height.join(rest, "chip", "left")
+    """Means of elevation, slope and northness over the central square of each chip: ``nasadem_{elevation,slope,aspect}_total``.
+
+    Slopes come from the whole chip, so the square's border cells have them where the chip goes on.
+    """
+    g = gradients(grid, cell).select("chip", "y", "x", "dx", "dy")
+    both = centre_crop_each(grid.select("chip", "y", "x", "value").join(g, ["chip", "y", "x"], "left"))
+    northness = F.when(F.col("dx").isNotNull(), aspect(F.col("dx"), F.col("dy"), "cos"))
+    return both.groupBy("chip").agg(
+        F.avg("value").alias("nasadem_elevation_total"), F.avg(slope(F.col("dx"), F.col("dy"))).alias("nasadem_slope_total"), F.avg(northness).alias("nasadem_aspect_total")
+    )

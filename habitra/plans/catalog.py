@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from habitra.functions import geo, raster, text
 from habitra.functions.geo import SCALE, kruger
 from habitra.functions.nulls import nan_to_null
 from habitra.operators import chips, climate, gold, grid, ml, occurrences, segments, terrain
+from habitra.plans import families
 from habitra.plans import surrogates as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +211,12 @@ add(
     FROM (SELECT chip, avg(value) AS v FROM grid8 GROUP BY chip) e LEFT JOIN f ON e.chip = f.chip GROUP BY e.chip, e.v""",
 )
 add("center_crop", lambda s, d: chips.centre_crop(S.grid8(s, d).where("y < 5"), 5, 8).select("chip", "y", "x", "value"), "SELECT chip, y, x, value FROM grid8 WHERE y < 5 AND y BETWEEN 0 AND 4 AND x BETWEEN 1 AND 6")
+add("nearest_box", lambda s, d: chips.nearest_box(S.grid8(s, d), (1.2, 0.4, 6.6, 2.0), 1).select("chip", "y", "x", "value"), "SELECT chip, y, x, value FROM grid8 WHERE x BETWEEN 0 AND 7 AND y BETWEEN 0 AND 3")
+add(
+    "resample_nearest",
+    lambda s, d: chips.resample(S.grid8(s, d).withColumns({c: F.col(c) + 0.5 for c in "xy"}), 1.0, 0.5).select("chip", "y", "x", "value"),
+    "SELECT chip, 0.25e0 + j * 0.5e0 AS y, 0.25e0 + i * 0.5e0 AS x, value FROM grid8 JOIN (SELECT unnest(range(16)) AS i) ON i // 2 = x JOIN (SELECT unnest(range(16)) AS j) ON j // 2 = y",
+)
 add("center_subset", lambda s, d: chips.centre_subset(S.grid8(s, d), 8, 8, 0.5), "SELECT chip, y, x, value FROM grid8 WHERE y BETWEEN 2 AND 5 AND x BETWEEN 2 AND 5")
 
 # soil and climate
@@ -252,6 +260,28 @@ add(
 )
 
 
+def nearest_point_join(s: SparkSession, d: str) -> DataFrame:
+    cells = s.range(400).select((F.lit(-122.4) + F.floor(F.col("id") / 20) * F.lit(0.03)).alias("lon"), (F.lit(47.3) + (F.col("id") % 20) * F.lit(0.03)).alias("lat"))
+    return rounded(climate.nearest_point(S.obs(s, d), cells, "id", 0.03), "grid_lon", "grid_lat")
+
+
+add(
+    "nearest_point_join",
+    nearest_point_join,
+    """+ axis AS (SELECT i, -122.4e0 + i * 0.03e0 AS lon, 47.3e0 + i * 0.03e0 AS lat FROM (SELECT unnest(range(20)) AS i)),
+    a AS (SELECT obs.id, axis.lon AS v, row_number() OVER (PARTITION BY id ORDER BY abs(obs.lon - axis.lon), axis.lon) AS r FROM obs, axis),
+    b AS (SELECT obs.id, axis.lat AS v, row_number() OVER (PARTITION BY id ORDER BY abs(obs.lat - axis.lat), axis.lat) AS r FROM obs, axis)
+    SELECT a.id, round(a.v, 6) AS grid_lon, round(b.v, 6) AS grid_lat FROM a JOIN b ON a.id = b.id AND a.r = 1 AND b.r = 1""",
+)
+add(
+    "annual_by_variable",
+    lambda s, d: rounded(climate.annual_each(climate.unpivot_bands(S.climate(s, d), ["ts"], ["Ppt", "Tmax"]), {"Ppt": "sum", "Tmax": "mean"}), "value"),
+    """+ u AS (SELECT ts, 'ppt' AS band, ppt AS value FROM climate UNION ALL SELECT ts, 'tmax', tmax FROM climate),
+    w AS (SELECT *, day(last_day(ts)) / CAST(sum(day(last_day(ts))) OVER (PARTITION BY band, year(ts)) AS DOUBLE) AS w FROM u)
+    SELECT band, year, round(CASE WHEN band = 'tmax' THEN s / n ELSE s END, 6) AS value FROM (SELECT band, CAST(year(ts) AS INT) AS year, coalesce(sum(value * w), 0) AS s, sum(CASE WHEN value IS NOT NULL THEN w ELSE 0 END) AS n FROM w GROUP BY ALL)""",
+)
+
+
 def lookback_window(s: SparkSession, d: str) -> DataFrame:
     a, b = climate.lookback(F.col("year"), -10, -1)
     show = lambda c, n: F.date_format(c, "yyyy-MM-dd").alias(n)
@@ -294,6 +324,26 @@ add(
     lambda s, d: projected(s, d).select("id", *[F.round(F.col(c) + o, 3).alias(n) for c, o, n in (("x", -100, "minx"), ("y", -100, "miny"), ("x", 100, "maxx"), ("y", 100, "maxy"))]),
     _UTM_SQL + "SELECT id, round(px - 100, 3) AS minx, round(py - 100, 3) AS miny, round(px + 100, 3) AS maxx, round(py + 100, 3) AS maxy FROM utm",
 )
+def _back_sql(x: str, y: str, zone: int, ellipsoid: str) -> tuple[str, str]:
+    """Longitude and latitude of an easting and northing, as DuckDB expressions over a row of them."""
+    k = kruger(ellipsoid)
+    eta0, xi0 = f"(({x} - 500000.0e0) / {SCALE * k['A']:.17e})", f"(({y}) / {SCALE * k['A']:.17e})"
+    terms = list(enumerate(k["beta"], 1))
+    eta = f"({eta0} - " + " - ".join(f"{b:.17e} * cos(2 * {i} * {xi0}) * sinh(2 * {i} * {eta0})" for i, b in terms) + ")"
+    xi = f"({xi0} - " + " - ".join(f"{b:.17e} * sin(2 * {i} * {xi0}) * cosh(2 * {i} * {eta0})" for i, b in terms) + ")"
+    chi = f"asin(sin({xi}) / cosh({eta}))"
+    lat = f"degrees({chi} + " + " + ".join(f"{c:.17e} * sin(2 * {i} * {chi})" for i, c in enumerate(k["delta"], 1)) + ")"
+    return f"({zone * 6 - 183}e0 + degrees(atan2(sinh({eta}), cos({xi}))))", lat
+
+
+def chip_bbox_wgs84(s: SparkSession, d: str) -> DataFrame:
+    left, bottom = geo.lonlat(F.col("x") - 100, F.col("y") - 100, 10)
+    right, top = geo.lonlat(F.col("x") + 100, F.col("y") + 100, 10)
+    return projected(s, d).select("id", *[F.round(c, 7).alias(n) for c, n in ((left, "minx"), (bottom, "miny"), (right, "maxx"), (top, "maxy"))])
+
+
+_LOW, _HIGH = _back_sql("(px - 100)", "(py - 100)", 10, "GRS80"), _back_sql("(px + 100)", "(py + 100)", 10, "GRS80")
+add("chip_bbox_wgs84", chip_bbox_wgs84, _UTM_SQL + f"SELECT id, round({_LOW[0]}, 7) AS minx, round({_LOW[1]}, 7) AS miny, round({_HIGH[0]}, 7) AS maxx, round({_HIGH[1]}, 7) AS maxy FROM utm")
 add("points_bbox", lambda s, d: S.obs(s, d).groupBy("species").agg(F.min("lon").alias("minx"), F.min("lat").alias("miny"), F.max("lon").alias("maxx"), F.max("lat").alias("maxy")), "SELECT species, min(lon) AS minx, min(lat) AS miny, max(lon) AS maxx, max(lat) AS maxy FROM obs GROUP BY species")
 add(
     "spatial_join_filter",
@@ -416,7 +466,7 @@ _OUT = ("id", "species", "year", "month", "status", "lat", "lon")
 
 def _absences(s: SparkSession, d: str) -> DataFrame:
     table = candidate_table(s, d)
-    return occurrences.pseudo_absences(S.obs(s, d), table, occurrences.sample_per_group(table, 1, ["candidate"], "species")).select(*_OUT)
+    return occurrences.pseudo_absences(S.obs(s, d), table, occurrences.sample_per_group(table, 1, ["candidate"], "species"), short="keep").select(*_OUT)
 
 
 _ABS_SQL = (
@@ -490,6 +540,18 @@ ids AS (SELECT *, 'CPT' || lpad(CAST(row_number() OVER (ORDER BY x, y, time) - 1
 """
 add("segment_grid", lambda s, d: _grid(s), _SEG + "SELECT x, y, time FROM seg")
 add("segment_ids", lambda s, d: segments.segment_ids(_grid(s)), _SEG + "SELECT x, y, time, id FROM ids")
+_LON, _LAT = _back_sql("x", "y", 10, "WGS84")
+add(
+    "segment_coords",
+    lambda s, d: rounded(segments.segment_grid(s, _BOX, 60.0, 60.0, 2013, 2016, zone=10), "decimallatitude", "decimallongitude", digits=8),
+    _SEG + f"SELECT x, y, time, round({_LAT}, 8) AS decimallatitude, round({_LON}, 8) AS decimallongitude FROM seg",
+)
+add(
+    "segment_months",
+    lambda s, d: segments.segment_grid(s, (0.0, 0.0, 300.0, 300.0), 100.0, 100.0, date(2019, 11, 30), date(2020, 6, 30), stride="m"),
+    """SELECT i * 100.0e0 - 50.0e0 AS x, j * 100.0e0 - 50.0e0 AS y, strftime(last_day(DATE '2019-11-01' + to_months(CAST(t AS INT))), '%Y-%m-%d') AS time
+    FROM (SELECT unnest(range(4)) AS i), (SELECT unnest(range(4)) AS j), (SELECT unnest(range(8)) AS t)""",
+)
 add("derive_year_month", lambda s, d: segments.year_month(_grid(s)), _SEG + "SELECT x, y, time, CAST(split_part(time, '-', 1) AS INT) AS year, CAST(split_part(time, '-', 2) AS INT) AS month FROM seg")
 _goldrows = lambda s, d: S.feat_b(s, d).select(F.concat(F.lit("CPT"), F.lpad(F.col("gbifid").cast("string"), 5, F.lit("0"))).alias("gbifid"), "quantity")
 add(
@@ -535,3 +597,7 @@ def batch_score_proba(s: SparkSession, d: str) -> DataFrame:
 
 add("train_gbt_metrics", train_gbt_metrics)
 add("batch_score_proba", batch_score_proba)
+
+# the six feature families; their steps have SQL above, and a test holds them against numpy
+for _kind in families.FAMILIES:
+    add(f"family_{_kind}", lambda s, d, k=_kind: families.rows(S.family_pixels(s, d, k), families.family(k)))

@@ -44,6 +44,7 @@ class Family:
     threshold: float = 0.05
 
 
+#: What each family reads and how it is aggregated.
 _SCENES = {"eo:cloud_cover": {"lt": 50}, "platform": {"eq": "landsat-8"}}
 FAMILIES = {
     "landsat8": Family("l8", "landsat-c2-l2", LANDSAT, "mean", "median", "seasonal", _SCENES, to_reflectance=True, resolution=30, years=(-1, -1)),

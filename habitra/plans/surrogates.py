@@ -42,6 +42,22 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", *bands, (F.col("l_partkey") * 37).bitwiseAND(F.lit(65535)).cast("int").alias("qa"))
 
 
+def family_pixels(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Pixels of all bands that a feature family reads: line items, a month a scene; elevations from the embeddings."""
+    from habitra.plans.families import family
+
+    if kind == "nasadem":
+        return grid8(spark, sf_dir).select("chip", F.lit("2000-02-01").cast("date").alias("ts"), "y", "x", F.lit("elevation").alias("band"), "value")
+    price, part = F.floor("l_extendedprice").cast("long"), F.col("l_partkey")
+    names = family(kind).assets
+    values = [(part * 37).bitwiseAND(F.lit(65535)).cast("double") if b == "qa_pixel" else (F.lit(600) + (price * (7 + 2 * i)) % 12000).cast("double") for i, b in enumerate(names)]
+    bands = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), v.alias("value")) for b, v in zip(names, values)])).alias("p")
+    lines = read(spark, sf_dir, "lineitem")
+    # one pixel for each place: the largest of a part's items there
+    place = lines.select((part % 100).alias("chip"), F.trunc(F.col("l_shipdate").cast("date"), "month").alias("ts"), F.col("l_linenumber").cast("int").alias("y"), (F.col("l_suppkey") % 8).cast("int").alias("x"), bands)
+    return place.groupBy("chip", "ts", "y", "x", F.col("p.band").alias("band")).agg(F.max("p.value").alias("value"))
+
+
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations: orders with their customers."""
     orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
