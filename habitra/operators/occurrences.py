@@ -100,9 +100,8 @@ def hash_order(key: Column) -> Column:
 def first_in_hash_order(df: DataFrame, limit: Callable[[Column], Column], by: Sequence[str], key: str) -> DataFrame:
     """Of each group the rows that come first in hash order, then by key, as many as ``limit`` says of its number of rows.
 
-    Rows are counted by group and the first three digits of their hashes; only
-    the one part of a group that holds the border is ranked row by row, so a
-    group is never sorted in one task.
+    Rows are counted by group and the first three digits of their hashes; rows
+    are ranked within such a part only, so a group is never sorted in one task.
     """
     hashed = df.withColumn("_h", hash_order(F.col(key))).withColumn("_d", F.substring("_h", 1, 3))
     parts = hashed.groupBy(*by, "_d").agg(F.count("*").alias("_n"))  # at most 4096 rows for each group
@@ -110,10 +109,8 @@ def first_in_hash_order(df: DataFrame, limit: Callable[[Column], Column], by: Se
     sums = parts.withColumns({"_b": F.coalesce(F.sum("_n").over(upto), F.lit(0)), "_most": limit(F.sum("_n").over(Window.partitionBy(*by)))})
     taken = sums.where("_b < _most").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col("_d").alias("_e"), F.col("_b"), F.when(F.col("_b") + F.col("_n") > F.col("_most"), F.col("_most") - F.col("_b")).alias("_some"))
     met = hashed.join(taken, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)] + [F.col("_d") == F.col("_e")])
-    whole = met.where("_some IS NULL").select(*df.columns)
     rank = F.row_number().over(Window.partitionBy(*by, "_d").orderBy("_h", key))
-    border = met.where("_some IS NOT NULL").withColumn("_r", rank).where("_r <= _some").select(*df.columns)
-    return whole.unionByName(border)
+    return met.withColumn("_r", rank).where("_some IS NULL OR _r <= _some").select(*df.columns)
 
 
 def sample_fraction(df: DataFrame, fraction: float, by: Sequence[str], key: str = "id") -> DataFrame:

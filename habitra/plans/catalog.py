@@ -14,6 +14,7 @@ from habitra.functions.nulls import nan_to_null
 from habitra.operators import chips, climate, gold, grid, ml, occurrences, segments, terrain
 from habitra.plans import families
 from habitra.plans import surrogates as S
+from habitra.session import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -442,7 +443,7 @@ def candidate_table(s: SparkSession, d: str) -> DataFrame:
     species = occurrences.min_obs(S.obs(s, d), 10)
     mean = sampled_distances(s, d).groupBy("species").agg(F.round(F.avg("mean_euclidean_dist"), 3).alias("mean_distance"))
     both = occurrences.qcut(occurrences.qcut(species.join(mean, "species"), "obs", "quantilerank"), "mean_distance", "quantilerank_dist")
-    return occurrences.group_numbers(both, ["quantilerank", "quantilerank_dist"], "species", "candidate")
+    return cut(occurrences.group_numbers(both, ["quantilerank", "quantilerank_dist"], "species", "candidate"))  # a row for each species, read several times
 
 
 add("min_obs_having", lambda s, d: occurrences.min_obs(S.obs(s, d), 10), _OBS_SQL + " SELECT species, obs FROM sp")

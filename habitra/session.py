@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "habitra", master: str | None = None, **conf: str) -> SparkSession:
@@ -21,3 +21,14 @@ def session(app: str = "habitra", master: str | None = None, **conf: str) -> Spa
     for k, v in (settings | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` from files in the shared folder (``spark.checkpoint.dir``), for small results that a plan reads several times."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", "")
+        if not named and sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or "/tmp/checkpoints")
+    return df.checkpoint()
