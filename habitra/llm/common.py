@@ -42,6 +42,11 @@ def materialise(df: DataFrame, name: str, compression: str = "zstd", stays: bool
     return spark.read.schema(df.schema).parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a table's size, from its files; for plans that give the same result at any size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables written within are removed at the end; what is kept must be written itself, to stay."""

@@ -26,13 +26,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from habitra.llm.common import map_batches, strings, text_of
+from habitra.llm.common import input_bytes, map_batches, strings, text_of
 
 SECTION = re.compile(r"(?:[^\n]|\n(?!\n))*\n*")
 LINE = re.compile(r"[^\n]*\n|[^\n]+")
 LEAF = re.compile(r"[^.!?]{1,160}(?:[.!?]+\s*)?|[.!?]+\s*")
 
 
+#: Bytes of files behind a range of ids, and the most ranges: the driver holds a number for each.
+RANGE_BYTES, MOST_RANGES = 12 << 20, 1 << 17
+
+
 class Tree:
     """Sections -> paragraphs -> leaf hashes (32 bits each) of a text, with each leaf's place; ``root`` is 128 bits."""
 
@@ -159,10 +163,11 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", par
 
     The ids are dealt in ranges whose bounds are ids of the table; the document
     at a bound also goes, as a tail, to the range before.  So each range finds
-    its next texts alone, and no task sees all rows.
+    its next texts alone, and no task sees all rows.  There are as many ranges as
+    the table's size asks for; rows of one id, or without one, share a range,
+    which is sorted with spilling.
     """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or max(1, min(MOST_RANGES, input_bytes(df) // RANGE_BYTES))
     low = -(1 << 63)
     ids = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(low)).alias("k"))
     found = ids.agg(F.min("k").alias("first"), F.percentile_approx("k", [i / parts for i in range(1, parts)] or [0.5], F.lit(100 * parts)).alias("bounds")).first()

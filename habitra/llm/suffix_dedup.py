@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from habitra.llm.common import materialise, release, small_batches
+from habitra.llm.common import input_bytes, materialise, release, small_batches
 
 LENGTH = 50
 Q = 16
@@ -238,7 +238,7 @@ def _blocks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Whole rows in blocks as Arrow streams, in the shared folder: ``block``, ``bytes`` (of text), ``data``."""
     small_batches(df.sparkSession)
     # the planner's estimate, from the sizes of the files: any block size gives the same result
-    block_bytes = grown(BLOCK_BYTES, int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())))
+    block_bytes = grown(BLOCK_BYTES, input_bytes(df))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -160,6 +160,43 @@ def test_edited_texts(docs, parts):
     assert (len(set(prints.values())) == len({hashlib.sha256(t.encode()).digest() for _, t in rows}))
 
 
+def brute_leaves(text):
+    """Sentences or pieces of at most 160 code points of each line, with the line's end, as strings."""
+    out = []
+    for line in text.splitlines(keepends=True) if not set("\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029") & set(text) else [x + "\n" for x in text.split("\n")[:-1]] + [x for x in text.split("\n")[-1:] if x]:
+        at = 0
+        while at < len(line):
+            end = at
+            while end < len(line) and line[end] not in ".!?" and end - at < 160:
+                end += 1
+            stop = end
+            while stop < len(line) and line[stop] in ".!?":
+                stop += 1
+            if stop > end:
+                while stop < len(line) and line[stop].isspace():
+                    stop += 1
+            out.append(line[at:stop])
+            at = stop
+    return out
+
+
+def test_likeness_against_all_leaves(docs):
+    """Twice the leaves that two texts share over all of them, without any tree."""
+    from collections import Counter
+
+    rows = sorted(docs.select("doc_id", "text").collect())
+    got = {r.doc_id: r for r in merkle.compare_edited(merkle.with_next(docs)).collect()}
+
+    def like(a, b):
+        x, y = Counter(brute_leaves(a)), Counter(brute_leaves(b))
+        return 2 * (x & y).total() / (x.total() + y.total()) if a != b else 1.0
+
+    for k, (doc, text) in enumerate(rows):
+        after, half = rows[(k + 1) % len(rows)][1], len(text) // 2
+        assert got[doc].near_edited == pytest.approx(like(text, text[: len(text) - half] + after[:half]))
+        assert got[doc].near_next == pytest.approx(like(text, after))
+
+
 def test_edited_odd_rows(odd, none):
     got = merkle.compare_edited(merkle.with_next(odd)).collect()
     assert len(got) == 9
