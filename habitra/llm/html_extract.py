@@ -11,7 +11,7 @@ package.
 
 Cases: a null or empty page, or one without article blocks, has the empty text;
 broken markup (tags left open, quotes left open, no body) is read as far as it
-goes; text in scripts, styles, comments, templates and the head is never a
+goes, a head that isn't closed ends at the first tag that can't stand in it; text in scripts, styles, comments, templates and the head is never a
 block; repeated rows give a row each; pages of any length are read whole; an
 empty table gives an empty result.  Other columns are left out.
 """
@@ -50,51 +50,86 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: Text inside these is never shown or never text.
 UNSEEN = frozenset("head template noscript svg select object".split())
+#: What may stand in a head; any other tag that starts ends it.
+IN_HEAD = frozenset("title meta link script style base noscript template html head".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A tag that starts ends open ones of these kinds at the top of the path.
 _CLOSES = {"p": ("p",), "li": ("li", "p"), "dt": ("dd", "dt", "p"), "dd": ("dd", "dt", "p"), "tr": ("td", "th", "tr", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)} | {t: ("p",) for t in "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol pre section table ul figure".split()}
 
 
+class Node:
+    """An open element: its names (tag, then parts of its attributes), its parent, and what is known of the path down to it."""
+
+    __slots__ = ("input", "names", "parent", "size", "tail", "total")
+
+    def __init__(self, names: tuple[str, ...], parent: Node | None):
+        self.names, self.parent = names, parent
+        self.tail = ((parent.tail if parent else ()) + names)[-3:]
+        self.total: np.ndarray | None = None  # of the vectors of all names on the path
+        self.size = 0
+        self.input: np.ndarray | None = None
+
+    def path(self) -> tuple[str, ...]:
+        """All names from the outermost element on."""
+        out, at = [], self
+        while at:
+            out.append(at.names)
+            at = at.parent
+        return tuple(x for names in reversed(out) for x in names)
+
+
 class Block:
-    """A leaf text with its tag path and the share of its characters in links."""
+    """A leaf text with the element that holds it and the share of its characters in links."""
+
+    __slots__ = ("linked", "node", "text")
 
-    __slots__ = ("linked", "path", "text")
+    def __init__(self, text: str, node: Node | None, linked: float):
+        self.text, self.node, self.linked = text, node, linked
 
-    def __init__(self, text: str, path: tuple[str, ...], linked: float):
-        self.text, self.path, self.linked = text, path, linked
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.node.path() if self.node else ()
 
 
 def _names(tag: str, attributes: str) -> tuple[str, ...]:
     out = [tag]
-    if attributes and len(attributes) < 20_000:
-        for m in _NAMES.finditer(attributes):
-            kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            if kind == "hidden":
+    for m in _NAMES.finditer(attributes):
+        kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if kind == "hidden":
+            out.append("=hidden")
+        elif kind == "style":
+            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 out.append("=hidden")
-            elif kind == "style":
-                if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                    out.append("=hidden")
-            else:
-                out += ["." + x.lower() for x in _PART.findall(value)[:8]]
+        else:
+            out += ["." + x.lower() for x in _PART.findall(value)]
     return tuple(out)
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, their references decoded and their white space made single."""
     out: list[Block] = []
-    path: list[tuple[str, ...]] = []
+    path: list[Node] = []
+    opened: dict[str, int] = {}
     parts: list[str] = []
-    in_links = 0
-    link = 0
+    in_links = link = unseen = 0
+    lower = page.lower()
+    closed_last = {t: lower.rfind(f"</{t}") for t in UNSEEN}  # an element that never ends hides nothing
 
     def end() -> None:
         nonlocal in_links
         text = " ".join(html.unescape("".join(parts)).split())
-        if text and not any(names[0] in UNSEEN for names in path):
-            out.append(Block(text, tuple(x for names in path if names[0] not in INLINE for x in names), min(1.0, in_links / max(1, len(text)))))
+        if text and not unseen:
+            out.append(Block(text, path[-1] if path else None, min(1.0, in_links / max(1, len(text)))))
         parts.clear()
         in_links = 0
 
+    def leave() -> str:
+        nonlocal unseen
+        tag = path.pop().names[0]
+        opened[tag] -= 1
+        unseen -= tag in UNSEEN
+        return tag
+
     for m in _TOKEN.finditer(page):
         text = m[5]
         if text is not None:
@@ -114,16 +149,20 @@ def blocks(page: str) -> list[Block]:
             continue
         end()
         if m[2]:
-            if any(x[0] == tag for x in path):
-                while path.pop()[0] != tag:
+            if opened.get(tag):
+                while leave() != tag:
+                    pass
+        else:
+            if opened.get("head") and tag not in IN_HEAD:
+                while leave() != "head":
                     pass
-        elif tag not in VOID:
-            for closed in _CLOSES.get(tag, ()):
-                if path and path[-1][0] == closed:
-                    path.pop()
-            if tag == "body":
-                path[:] = [x for x in path if x[0] != "head"]
-            path.append(_names(tag, m[4] or ""))
+            if tag not in VOID and not (tag in UNSEEN and tag != "head" and closed_last[tag] < m.end()):
+                for closed in _CLOSES.get(tag, ()):
+                    if path and path[-1].names[0] == closed:
+                        leave()
+                path.append(Node(_names(tag, m[4] or ""), path[-1] if path else None))
+                opened[tag] = opened.get(tag, 0) + 1
+                unseen += tag in UNSEEN
         link = 0
     end()
     return out
@@ -134,22 +173,25 @@ def _bucket(word: str, buckets: int) -> int:
     return zlib.crc32(word.encode()) % buckets
 
 
-def features(page: list[Block]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-    """For each block: buckets of its path, of its words (the first and last 20), and its measures."""
-    paths, words, n = [], [], len(page)
+def path_buckets(b: Block) -> list[int]:
+    """Buckets of all names on a block's path, and once more of the last three as such."""
+    tail = b.node.tail if b.node else ()
+    return [_bucket(x, PATH_BUCKETS) for x in (*b.path, *("^" + x for x in tail))] or [0]
+
+
+def features(page: list[Block]) -> tuple[list[list[int]], np.ndarray]:
+    """For each block: buckets of its words, and its measures."""
+    words, n = [], len(page)
     measures = np.zeros((n, MEASURES), np.float32)
     sizes = [len(b.text) for b in page]
     total, before = max(sum(sizes), 1), 0
     for i, b in enumerate(page):
-        own = b.path[-12:] + tuple("^" + x for x in b.path[-3:])
-        paths.append([_bucket(x, PATH_BUCKETS) for x in own] or [0])
         w = b.text.lower().split()
-        some = w if len(w) <= 40 else w[:20] + w[-20:]  # a bounded sample for the label only; the text is kept whole
-        words.append([_bucket(x.strip(".,;:!?()\"'"), WORD_BUCKETS) for x in some])
+        words.append([_bucket(x.strip(".,;:!?()\"'"), WORD_BUCKETS) for x in w])
         stops = b.text.count(".") + b.text.count("!") + b.text.count("?")
         measures[i] = (np.log1p(len(w)) / 5, b.linked, min(1.0, 5 * stops / max(len(w), 1)), i / n, before / total, sizes[i] / total, min(1.0, np.log1p(n) / 6), b.text[-1] in ".!?:…\"'”)", "©" in b.text)
         before += sizes[i]
-    return paths, words, measures
+    return words, measures
 
 
 def _mean(table: np.ndarray, lists: list[list[int]]) -> np.ndarray:
@@ -173,9 +215,28 @@ class Labeller:
         with np.load(WEIGHTS) as f:
             return cls(dict(f))
 
+    def _path(self, node: Node | None) -> np.ndarray:
+        """The mean vector of a path's names: its parent's sum and its own names, so that a deep path isn't read again for each block."""
+        table = self.w["path"]
+        if node is None:
+            return table[0]
+        if node.input is None:
+            chain = []
+            at: Node | None = node
+            while at and at.total is None:
+                chain.append(at)
+                at = at.parent
+            for x in reversed(chain):
+                own = table[[_bucket(k, PATH_BUCKETS) for k in x.names]].sum(0)
+                x.total = own + x.parent.total if x.parent else own
+                x.size = len(x.names) + (x.parent.size if x.parent else 0)
+            last = table[[_bucket("^" + k, PATH_BUCKETS) for k in node.tail]].sum(0)
+            node.input = (node.total + last) / (node.size + len(node.tail))
+        return node.input
+
     def inputs(self, page: list[Block]) -> np.ndarray:
-        paths, words, measures = features(page)
-        return np.concatenate([_mean(self.w["path"], paths), _mean(self.w["word"], words), measures], axis=1)
+        words, measures = features(page)
+        return np.concatenate([np.array([self._path(b.node) for b in page], np.float32), _mean(self.w["word"], words), measures], axis=1)
 
     def _direction(self, x: np.ndarray, mask: np.ndarray, side: str) -> np.ndarray:
         """States (steps, pages, HIDDEN) of one direction; x is (steps, pages, inputs) in reading order of that direction."""

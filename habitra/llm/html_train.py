@@ -13,7 +13,7 @@ import random
 
 import numpy as np
 
-from habitra.llm.html_extract import HIDDEN, MEASURES, PATH_BUCKETS, PATH_DIM, WEIGHTS, WORD_BUCKETS, WORD_DIM, Block, Labeller, blocks, features
+from habitra.llm.html_extract import HIDDEN, MEASURES, PATH_BUCKETS, PATH_DIM, WEIGHTS, WORD_BUCKETS, WORD_DIM, Block, Labeller, blocks, features, path_buckets
 
 SYLLABLES = "an ble ch de en er ing is la lo men nd on or pa qui re st th ti un ver wh za ö é ç ñ ä".split()
 BOILER = {
@@ -245,7 +245,7 @@ def train(steps: int = 1200, pages: int = 32, seed: int = 11, rate: float = 0.00
     m2 = {k: np.zeros_like(v) for k, v in w.items()}
     for step in range(1, steps + 1):
         made = [p for p in (make.labelled() for _ in range(pages)) if 0 < len(p[0]) <= 120]
-        feats = [features(p) for p, _ in made]
+        feats = [([path_buckets(b) for b in p], *features(p)) for p, _ in made]
         steps_n = max(len(p) for p, _ in made)
         n_in = PATH_DIM + WORD_DIM + MEASURES
         x = np.zeros((steps_n, len(made), n_in), np.float32)

@@ -149,3 +149,24 @@ def test_pages_odd_rows(spark):
     assert len(got) == 4 and [r.text for r in got if r.page_id == 1] == ["", ""]
     assert got[3].text.count("\n\n") == 3999
     assert html_extract.extract(rows.limit(0)).count() == 0
+
+
+def test_nothing_of_a_page_is_cut():
+    """Long attributes, many classes, deep paths: all names count, in linear time."""
+    import time
+
+    (block,) = html_extract.blocks('<body><div class="' + " " * 30_000 + " ".join(f"c{k}" for k in range(40)) + ' comments"><p>Some words')
+    assert block.path[:2] == ("body", "div") and ".comments" in block.path and block.path.count(".c") == 40
+    began = time.perf_counter()
+    deep = html_extract.blocks("<div class=x>some words" * 22_000)  # half a megabyte, nothing closed
+    net = html_extract.Labeller.load()
+    x = net.inputs(deep)
+    assert len(deep) == 22_000 and time.perf_counter() - began < 20
+    for k in (0, 1, 7, 500):
+        assert np.allclose(x[k, : html_extract.PATH_DIM], net.w["path"][html_extract.path_buckets(deep[k])].mean(0), atol=1e-4)
+
+
+def test_a_head_without_an_end():
+    texts = lambda page: [b.text for b in html_extract.blocks(page)]
+    assert texts("<head><title>x</title><meta charset=utf-8><article><p>One.<p>Two.") == ["One.", "Two."]
+    assert texts("<p>One.<svg><g>unseen</g></svg><p>Two.<select><option>Three.<p>Four.") == ["One.", "Two.", "Three.", "Four."]
