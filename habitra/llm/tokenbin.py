@@ -3,16 +3,22 @@
 ``write`` encodes every text, deals the ids out in ranges of ascending doc_id
 and packs each range in blocks.  A block is one byte string:
 
-    magic "EFTK", version, bytes of an id (2 or 4), documents n, ids u   header, little-endian
-    doc ids                                                             n signed 64-bit integers
-    Elias-Fano lists of the n + 1 boundaries 0..u: low bits, then high bits in unary,
-    and every 64th one-bit's place, so that a boundary is found by a short select
+    magic "EFTK", version, bytes of an id (2 or 4), low bits of the lists   header, little-endian
+    shard, block, ids of the shard before it, documents n, ids u
+    null doc ids z, the first doc id that isn't null
+    Elias-Fano list of the n - z doc ids, as distances from the first
+    Elias-Fano list of the n + 1 boundaries 0..u
     ids                                                                 u integers
     CRC-32 of all before
 
-A boundary takes about 2 + log2(u / n) bits instead of 64.  The blocks are rows
-of a table in the shared folder, which Spark's committer writes, so a lost task
-leaves nothing behind; ``read`` opens them again and selects documents.
+A list holds its sizes, the low bits, the high bits
+in unary, and every 64th one-bit's place, so that a value is found by a short
+select: about 2 + log2(u / n) bits for each instead of 64.
+
+Each block is a file of its own, ``{shard}-{block}.eftk``, which ``Block.open``
+reads without Spark.  A task writes under another name first and moves the whole
+file, so one that is run again replaces its own files by equal ones.  ``read``
+opens them through Spark and selects documents.
 
 Cases: a null or empty text holds only the end id; null doc_ids sort first and
 stay null; rows with the same doc_id follow each other in the order of their
@@ -23,6 +29,7 @@ blocks.  Other columns of the input are left out.
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -31,15 +38,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from habitra.llm.common import map_batches, materialise, strings, text_of
+from habitra.llm.common import map_batches, materialise, shared_dir, small_batches, strings, text_of
 from habitra.llm.tokenizing import ChunkEncoder, encoder
 
 MAGIC = b"EFTK"
-HEADER = struct.Struct("<4sBBHQQ")  # magic, version, id bytes, low bits of Elias-Fano, documents, ids
+VERSION = 2
+#: magic, version, id bytes, low bits of doc ids and of boundaries, shard, block, ids of the shard before, documents, ids, null doc ids, first doc id
+HEADER = struct.Struct("<4sBBBBIIQQQQq")
 SAMPLE = 64  # a place is kept for every so many one-bits
 #: Ids after which a block ends (at the next document).
 BLOCK_IDS = 1 << 20
-NO_ID = -(1 << 63)  # stands for a null doc_id in a block
 
 
 class EliasFano:
@@ -61,20 +69,14 @@ class EliasFano:
         return cls(n, low_bits, np.packbits(bits, bitorder="little"), np.packbits(high, bitorder="little"), ones[::SAMPLE].astype(np.uint32))
 
     def select(self, i: int) -> int:
-        """The i-th value, from the kept place before it and a scan of at most 63 one-bits."""
+        """The i-th value, from the kept places around it and the bits between them."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        at = int(self.places[i // SAMPLE])
-        left = i % SAMPLE
-        byte = at >> 3
-        word = int(self.high[byte]) >> (at & 7) << (at & 7)
-        while (have := word.bit_count()) <= left:
-            left -= have
-            byte += 1
-            word = int(self.high[byte])
-        for _ in range(left):
-            word &= word - 1
-        one = byte * 8 + (word & -word).bit_length() - 1
+        k = i // SAMPLE
+        first = int(self.places[k]) >> 3
+        last = (int(self.places[k + 1]) >> 3) + 1 if k + 1 < len(self.places) else len(self.high)
+        bits = np.flatnonzero(np.unpackbits(self.high[first:last], bitorder="little")) + 8 * first
+        one = int(bits[np.searchsorted(bits, int(self.places[k])) + i % SAMPLE])
         low = 0
         for k in range(self.low_bits):
             p = i * self.low_bits + k
@@ -88,10 +90,11 @@ class EliasFano:
         return ((ones - np.arange(self.n)) << self.low_bits) + low.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
 
     def dump(self) -> bytes:
-        return struct.pack("<QQQ", len(self.low), len(self.high), len(self.places)) + self.low.tobytes() + self.high.tobytes() + self.places.tobytes()
+        return struct.pack("<QQQ", len(self.low), len(self.high), len(self.places)) + self.low.tobytes() + self.high.tobytes() + self.places.astype("<u4").tobytes()
 
     @classmethod
     def load(cls, n: int, low_bits: int, data: memoryview) -> tuple[EliasFano, int]:
+        """The list of n values at the beginning of the data, and the bytes it takes."""
         a, b, c = struct.unpack_from("<QQQ", data)
         at = 24
         low = np.frombuffer(data, np.uint8, a, at)
@@ -101,37 +104,54 @@ class EliasFano:
 
 
 class Block:
-    """One packed block; ``ids(i)`` selects a document's ids without reading the others."""
+    """One packed block; ``ids(i)`` and ``doc_id(i)`` select a document's without reading the others."""
 
     def __init__(self, data: bytes):
-        magic, version, self.width, low_bits, self.n, self.total = HEADER.unpack_from(data)
-        if magic != MAGIC or version != 1:
+        if len(data) < HEADER.size + 4 or data[:4] != MAGIC or data[4] != VERSION:
             raise ValueError("not a block of token ids")
         if zlib.crc32(memoryview(data)[:-4]) != struct.unpack("<I", data[-4:])[0]:
             raise ValueError("the block is damaged")
-        at = HEADER.size
-        self.doc_ids = np.frombuffer(data, "<i8", self.n, at)
-        at += 8 * self.n
-        self.bounds, used = EliasFano.load(self.n + 1, low_bits, memoryview(data)[at:])
+        _, _, self.width, low, low_bounds, self.shard, self.block, self.first, self.n, self.total, self.nulls, self.base = HEADER.unpack_from(data)
+        view = memoryview(data)
+        self.names, used = EliasFano.load(self.n - self.nulls, low, view[HEADER.size :])
+        at = HEADER.size + used
+        self.bounds, used = EliasFano.load(self.n + 1, low_bounds, view[at:])
         self.values = np.frombuffer(data, f"<u{self.width}", self.total, at + used)
 
+    @classmethod
+    def open(cls, path: str) -> Block:
+        """A block's file, without Spark."""
+        with open(path, "rb") as f:
+            return cls(f.read())
+
+    def doc_id(self, i: int) -> int | None:
+        """The i-th document's id; nulls come first."""
+        return None if i < self.nulls else self.base + self.names.select(i - self.nulls)
+
+    def doc_ids(self) -> list[int | None]:
+        return [None] * self.nulls + [self.base + x for x in self.names.all().astype(np.uint64).tolist()]
+
     def ids(self, i: int) -> np.ndarray:
         return self.values[self.bounds.select(i) : self.bounds.select(i + 1)]
 
     @staticmethod
-    def pack(doc_ids: list[int | None], ids: list[np.ndarray], width: int) -> bytes:
+    def pack(doc_ids: list[int | None], ids: list[np.ndarray], width: int, shard: int = 0, block: int = 0, first: int = 0) -> bytes:
+        """``doc_ids`` ascend, nulls first."""
         ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-        ef = EliasFano.of(ends)
-        body = HEADER.pack(MAGIC, 1, width, ef.low_bits, len(ids), int(ends[-1]))
-        body += np.array([NO_ID if x is None else x for x in doc_ids], "<i8").tobytes() + ef.dump()
+        known = [x for x in doc_ids if x is not None]
+        base = known[0] if known else 0
+        names, bounds = EliasFano.of(np.array([x - base for x in known], np.uint64)), EliasFano.of(ends)
+        body = HEADER.pack(MAGIC, VERSION, width, names.low_bits, bounds.low_bits, shard, block, first, len(ids), int(ends[-1]), len(ids) - len(known), base)
+        body += names.dump() + bounds.dump()
         body += np.concatenate(ids).astype(f"<u{width}").tobytes() if ids else b""
         return body + struct.pack("<I", zlib.crc32(body))
 
 
-def write(df: DataFrame, tokenizer: str, end_id: int, id_width: int = 2, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of all documents: ``shard`` (in ascending doc_id order), ``block``, ``first`` (ids before it in the shard), ``n_docs``, ``n_ids``, ``data``.
+def write(df: DataFrame, tokenizer: str, end_id: int, id_width: int = 2, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS, folder: str | None = None) -> DataFrame:
+    """Writes the blocks of all documents as files and gives a row for each: ``shard`` (in ascending doc_id order), ``block``, ``first`` (ids before it in the shard), ``n_docs``, ``n_ids``, ``path``.
 
-    ``id_width``: 2 for vocabularies below 65,536 ids, else 4.
+    The files go to ``folder``, by default a new one in the shared folder, which
+    all machines must reach by the same name.  ``id_width``: 2 for vocabularies below 65,536 ids, else 4.
     """
 
     def make():
@@ -151,16 +171,28 @@ def write(df: DataFrame, tokenizer: str, end_id: int, id_width: int = 2, id_col:
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = encoded.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
 
+    folder = folder or f"{shared_dir(spark)}/habitra/{spark.sparkContext.applicationId}/token-files-{uuid.uuid4().hex}"
+    small_batches(spark)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
         from pyspark import TaskContext
 
+        fs, root = FileSystem.from_uri(folder)
+        fs.create_dir(root, recursive=True)
         shard = TaskContext.get().partitionId()
         docs: list[int | None] = []
         held: list[np.ndarray] = []
         size = block = first = 0
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()), "first": pa.array([first], pa.int64()), "n_docs": pa.array([len(docs)], pa.int64()), "n_ids": pa.array([size], pa.int64()), "data": pa.array([Block.pack(docs, held, id_width)], pa.binary())})
+            name = f"{shard:06d}-{block:06d}.eftk"
+            half = f"{root}/.{name}-{uuid.uuid4().hex}"  # names with a dot are read by nobody
+            with fs.open_output_stream(half) as out:
+                out.write(Block.pack(docs, held, id_width, shard, block, first))
+            fs.move(half, f"{root}/{name}")
+            numbers = {"first": first, "n_docs": len(docs), "n_ids": size}
+            return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32())} | {k: pa.array([v], pa.int64()) for k, v in numbers.items()} | {"path": [f"{folder}/{name}"]})
 
         for b in batches:
             for doc, ids in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
@@ -173,33 +205,40 @@ def write(df: DataFrame, tokenizer: str, end_id: int, id_width: int = 2, id_col:
         if docs:
             yield row()
 
-    return materialise(ordered.mapInArrow(pack, "shard int, block int, first long, n_docs long, n_ids long, data binary"), "token-blocks", "none")
+    return materialise(ordered.mapInArrow(pack, "shard int, block int, first long, n_docs long, n_ids long, path string"), "token-files")
 
 
 def read(blocks: DataFrame) -> DataFrame:
-    """Documents from the blocks that ``write`` gives: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids`` (binary, unsigned 32-bit).
+    """Documents from the files of the rows that ``write`` gives: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids`` (binary, unsigned 32-bit).
 
-    A block knows the ids before it in its shard; those of the shards before come
+    A file knows the ids before it in its shard; those of the shards before come
     from a sum over shards, which is broadcast: as many rows as shuffle partitions.
     """
     from pyspark.sql import Window
 
+    spark = blocks.sparkSession
+    schema = "shard int, doc_id long, start long, ids binary"
+    some = blocks.select("path").first()
+    if some is None:
+        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n_ids")).withColumn("all", F.lit(0))
     before = shards.select("shard", F.coalesce(F.sum("n_ids").over(Window.partitionBy("all").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.eftk").load(some["path"].rpartition("/")[0])
 
     def make():
         def rows(b: pa.RecordBatch) -> dict:
             out: dict[str, list] = {"shard": [], "doc_id": [], "start": [], "ids": []}
-            for shard, first, data in zip(b.column("shard").to_pylist(), b.column("first").to_pylist(), b.column("data").to_pylist()):
-                block = Block(data)
-                for i in range(block.n):
-                    out["shard"].append(shard)
-                    out["doc_id"].append(None if block.doc_ids[i] == NO_ID else int(block.doc_ids[i]))
-                    out["start"].append(first + block.bounds.select(i))
-                    out["ids"].append(block.ids(i).astype("<u4").tobytes())
+            for data in b.column("content"):
+                block = Block(data.as_py())
+                ends = block.bounds.all().tolist()
+                wide = block.values.astype("<u4").tobytes()
+                out["shard"] += [block.shard] * block.n
+                out["doc_id"] += block.doc_ids()
+                out["start"] += [block.first + x for x in ends[:-1]]
+                out["ids"] += [wide[4 * x : 4 * y] for x, y in zip(ends, ends[1:])]
             return out
 
         return rows
 
-    docs = map_batches(blocks.select("shard", "first", "data"), make, "shard int, doc_id long, start long, ids binary", rows=1)
+    docs = map_batches(files.select("content"), make, schema, rows=1)
     return docs.join(F.broadcast(before), "shard").select("doc_id", (F.col("start") + F.col("before")).alias("start"), F.expr("CAST(length(ids) / 4 AS BIGINT)").alias("n_tokens"), "ids")
