@@ -46,7 +46,8 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE))
+    docs, path = table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE)
+    return token_counts.token_counts(docs, path, token_counts.fit(docs, path))
 
 
 def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:

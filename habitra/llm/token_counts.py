@@ -7,11 +7,13 @@ ancestors by the pieces that end there, so a prefix that many words share is
 scored once, and the end of a word stores its count.  A text's count is the sum
 over its words.  No shuffle; memory is bounded by the word cache and one batch.
 
-The pieces come from a sentencepiece file; their probabilities follow Zipf's
-law over the file's order, 1 / (rank + 2.7).  Words are runs without ASCII white
-space, with the file's word mark before them.  A code point that no piece
-covers is one token.  Of segmentations with equal scores the one with fewer
-pieces counts.
+The pieces come from a sentencepiece file.  Their probabilities are fitted on
+the whole corpus (``fit``): all words are counted, and in each round the pieces
+of the words' best segmentations give new probabilities, each piece counted once
+more than it was met; the first round starts from Zipf's law over the file's
+order, 1 / (rank + 2.7).  Words are runs without ASCII white space, with the
+file's word mark before them.  A code point that no piece covers is one token.
+Of segmentations with equal scores the one with fewer pieces counts.
 
 Cases: null and empty texts have no words and no tokens; a null doc_id stays
 null; repeated rows give a row each; an empty table gives an empty result.
@@ -21,12 +23,15 @@ Other columns of the input are left out.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from habitra.llm.common import map_batches, strings, text_of
+from habitra.llm.common import map_batches, materialise, small_batches, strings, text_of
 from habitra.llm.tokenizing import CACHE_WORDS, TRIE_WORDS, encoder
 
 WORD_MARK = "▁"
@@ -43,6 +48,18 @@ class TrieUnigram:
         own = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
         self.load({sp.id_to_piece(i): -math.log(k + 2.7) for k, i in enumerate(own)})
 
+    @classmethod
+    def of(cls, scores: dict[str, float]) -> TrieUnigram:
+        """A model of given log probabilities; the last one is kept by worker."""
+        key = hash(frozenset(scores.items()))
+        if cls._last is None or cls._last[0] != key:
+            made = cls.__new__(cls)
+            made.load(scores)
+            cls._last = (key, made)
+        return cls._last[1]
+
+    _last: tuple[int, TrieUnigram] | None = None
+
     def load(self, scores: dict[str, float]) -> None:
         self.scores = scores
         self.ending: dict[str, float | None] = {}  # each end of a piece -> its score, None where only longer pieces end so
@@ -54,38 +71,55 @@ class TrieUnigram:
 
     def count_words(self, words: Iterable[str]) -> dict[str, int]:
         """Tokens of each word, by one walk over the words' trie."""
+        return {w: len(parts) for w, parts in self._walk(words)}
+
+    def segment_words(self, words: Iterable[str]) -> dict[str, list[str]]:
+        """The tokens themselves of each word."""
+        out = {}
+        for w, sizes in self._walk(words):
+            ends = list(accumulate(reversed(sizes)))
+            out[w] = [w[e - n : e] for e, n in zip(ends, reversed(sizes))]
+        return out
+
+    def _walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        """Each word with the lengths of its tokens, from its end to its beginning."""
         root: dict = {}
         for w in words:
             node = root
             for c in w:
                 node = node.setdefault(c, {})
             node[None] = w
-        out: dict[str, int] = {}
         ending = self.ending
         best: list[tuple[float, int]] = [(0.0, 0)]  # by depth of the path: best score, and minus its pieces
+        last = [0]  # and the length of the last of them
         path = ""
         stack = [(root, 0, "")]
         while stack:
             node, depth, c = stack.pop()
             if depth:
                 path = path[: depth - 1] + c
-                del best[depth:]
+                del best[depth:], last[depth:]
                 score, pieces = best[depth - 1]
+                size = 1
                 top = (score + UNKNOWN, pieces - 1) if ending.get(c) is None else (-math.inf, 0)
                 k = 1
                 while k <= depth and (end := path[depth - k :]) in ending:
                     if (s := ending[end]) is not None:
                         score, pieces = best[depth - k]
                         if (score + s, pieces - 1) > top:
-                            top = (score + s, pieces - 1)
+                            top, size = (score + s, pieces - 1), k
                     k += 1
                 best.append(top)
+                last.append(size)
             for c, child in node.items():
                 if c is None:
-                    out[child] = -best[depth][1]
+                    at, sizes = depth, []
+                    while at:
+                        sizes.append(last[at])
+                        at -= last[at]
+                    yield child, sizes
                 else:
                     stack.append((child, depth + 1, c))
-        return out
 
     def count_texts(self, texts: list[str]) -> list[tuple[int, int]]:
         """Words and tokens of each text."""
@@ -100,11 +134,70 @@ class TrieUnigram:
         return [(len(words), sum([self.cache[w] for w in words])) for words in cut]
 
 
-def token_counts(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_words``, ``n_tokens`` of every whole text."""
+#: Distinct words that a task counts before it hands them on.
+HELD_WORDS = 200_000
+
+
+def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word`` (with the mark) and ``n`` of all whole texts; each task adds up its own first."""
+    small_batches(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[bytes] = Counter()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            words = list(held.items())
+            for at in range(0, len(words), 10_000):
+                part = words[at : at + 10_000]
+                yield pa.RecordBatch.from_pydict({"word": [WORD_MARK + w.decode() for w, _ in part], "n": pa.array([n for _, n in part], pa.int64())})
+            held.clear()
+
+        for b in batches:
+            for t in strings(b, "text"):
+                held.update(t.encode().split())
+                if len(held) > HELD_WORDS:
+                    yield from out()
+        yield from out()
+
+    counted = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, "word string, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def fit(df: DataFrame, model: str, rounds: int = 2, text_col: str = "text") -> dict[str, float]:
+    """Log probabilities of the file's pieces for the texts of ``df``, by ``rounds`` of counting the pieces of best segmentations.
+
+    Words are counted once over the whole corpus; what comes to the driver is a
+    number for each piece.  Without words the starting probabilities stay.
+    """
+    words = materialise(word_counts(df, text_col), "word-counts")
+    scores = TrieUnigram(model).scores
+    for _ in range(rounds):
+        sent = df.sparkSession.sparkContext.broadcast(scores)  # as many as the file has pieces
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            unigram, held = TrieUnigram.of(sent.value), Counter()
+            for b in batches:
+                n = dict(zip(b.column("word").to_pylist(), b.column("n").to_pylist()))
+                for w, pieces in unigram.segment_words(n).items():
+                    for p in pieces:
+                        held[p] += n[w]
+            known = [(p, n) for p, n in held.items() if p in unigram.scores]
+            yield pa.RecordBatch.from_pydict({"piece": pa.array([p for p, _ in known], pa.string()), "n": pa.array([n for _, n in known], pa.int64())})
+
+        met = {r["piece"]: r["n"] for r in words.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
+        if not met:
+            break
+        total = math.log(sum(met.values()) + len(scores))
+        scores = {p: math.log(met.get(p, 0) + 1) - total for p in scores}
+    return scores
+
+
+def token_counts(df: DataFrame, model: str, scores: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``n_words``, ``n_tokens`` of every whole text, by the model's pieces with fitted ``scores``, or as the file orders them."""
+    sent = df.sparkSession.sparkContext.broadcast(scores)
 
     def make():
-        unigram = encoder(TrieUnigram, model)
+        unigram = TrieUnigram.of(sent.value) if sent.value else encoder(TrieUnigram, model)
 
         def rows(b: pa.RecordBatch) -> dict:
             counts = unigram.count_texts(strings(b, "text"))

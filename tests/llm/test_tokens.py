@@ -111,6 +111,33 @@ def test_shards_odd_rows_and_damage(odd, none):
         tokenbin.Block(bytes(data))
 
 
+@pytest.mark.parametrize("ids", [[None, None, -(2**63), -5, -5, 0, 7, 2**63 - 1], [None], [], [3] * 200, list(range(-1000, 5000, 7))])
+def test_doc_ids_of_a_block(tmp_path, ids):
+    """Near-minimal lists instead of a table of 64 bits, and a file that opens without Spark."""
+    texts = [np.arange(k % 5 + 1) for k in range(len(ids))]
+    data = tokenbin.Block.pack(ids, texts, 2, shard=3, block=4, first=99)
+    (tmp_path / "b.eftk").write_bytes(data)
+    block = tokenbin.Block.open(str(tmp_path / "b.eftk"))
+    assert (block.shard, block.block, block.first, block.n) == (3, 4, 99, len(ids))
+    assert block.doc_ids() == ids == [block.doc_id(i) for i in range(len(ids))]
+    assert all(block.ids(i).tolist() == x.tolist() for i, x in enumerate(texts))
+    if len(ids) > 500:
+        assert len(data) < 5 * len(ids) + 2 * sum(map(len, texts)) + 200
+
+
+def test_select_past_a_long_document():
+    ends = np.cumsum([1] * 100 + [5_000_000] + [2] * 100)
+    ef = tokenbin.EliasFano.of(ends)
+    assert [ef.select(i) for i in range(len(ends))] == ends.tolist()
+
+
+def test_files_open_without_spark(docs, word_lib):
+    rows = tokenbin.write(docs, tokenizer_path(WORD_BPE), end_id=2, block_ids=4000).orderBy("shard", "block").collect()
+    held = [(d, block.ids(i).tolist()) for r in rows for block in [tokenbin.Block.open(r.path)] for i, d in enumerate(block.doc_ids())]
+    texts = dict(docs.select("doc_id", "text").collect())
+    assert held == [(d, [*ids_of(word_lib, texts[d]), 2]) for d in sorted(texts)]
+
+
 def check_packing(slots, capacity):
     by = {}
     for r in slots:
@@ -201,6 +228,50 @@ def test_counts_equal_the_library(docs):
     assert words and all(got[w] == len(lib.tokenize(w)) for w in words)
 
 
+def test_whole_documents_with_fitted_scores(docs):
+    """The fit against the same rounds by plain search, and every document's count against plain search of its words."""
+    path = tokenizer_path(PIECE_BPE)
+    some = docs.orderBy("doc_id").limit(60)
+    texts = dict(some.select("doc_id", "text").collect())
+    mark = token_counts.WORD_MARK
+    words = {}
+    for t in texts.values():
+        for w in t.encode().split():
+            words[mark + w.decode()] = words.get(mark + w.decode(), 0) + 1
+
+    def pieces(word, scores):
+        best = [(0.0, 0, 0)]
+        for i in range(1, len(word) + 1):
+            options = [(best[j][0] + scores[word[j:i]], best[j][1] - 1, j) for j in range(max(0, i - 40), i) if word[j:i] in scores]
+            if word[i - 1 : i] not in scores:
+                options.append((best[i - 1][0] + token_counts.UNKNOWN, best[i - 1][1] - 1, i - 1))
+            best.append(max(options, key=lambda x: (x[0], x[1], -x[2])))
+        out, at = [], len(word)
+        while at:
+            out.append(word[best[at][2] : at])
+            at = best[at][2]
+        return out
+
+    got = token_counts.fit(some, path, rounds=2)
+    scores = token_counts.TrieUnigram(path).scores
+    for _ in range(2):
+        met = {}
+        for w, n in words.items():
+            for p in pieces(w, scores):
+                met[p] = met.get(p, 0) + n
+        met = {p: n for p, n in met.items() if p in scores}
+        total = np.log(sum(met.values()) + len(scores))
+        scores = {p: np.log(met.get(p, 0) + 1) - total for p in scores}
+    assert got.keys() == scores.keys()
+    off = [p for p in scores if abs(got[p] - scores[p]) > 1e-9]
+    assert len(off) <= 0.001 * len(scores)  # ties may be cut elsewhere
+    cost = {w: len(pieces(w, got)) for w in words}
+    for r in token_counts.token_counts(some, path, got).collect():
+        own = [mark + w.decode() for w in texts[r.doc_id].encode().split()]
+        assert (r.n_words, r.n_tokens) == (len(own), sum(cost[w] for w in own))
+    assert token_counts.fit(docs.limit(0), path) == token_counts.TrieUnigram(path).scores
+
+
 def test_counts_odd_rows(odd, none):
     rows = {(r.doc_id, r.n_words): r.n_tokens for r in token_counts.token_counts(odd, tokenizer_path(PIECE_BPE)).collect()}
     assert rows[2, 0] == rows[3, 0] == 0 and rows[8, 3001] > 3000 and len(rows) == 8
