@@ -25,7 +25,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,18 +70,21 @@ class TrieUnigram:
 
     def count_words(self, words: Iterable[str]) -> dict[str, int]:
         """Tokens of each word, by one walk over the words' trie."""
-        return {w: len(parts) for w, parts in self._walk(words)}
+        return {w: -best[depth][1] for w, depth, best, _ in self._walk(words)}
 
     def segment_words(self, words: Iterable[str]) -> dict[str, list[str]]:
         """The tokens themselves of each word."""
         out = {}
-        for w, sizes in self._walk(words):
-            ends = list(accumulate(reversed(sizes)))
-            out[w] = [w[e - n : e] for e, n in zip(ends, reversed(sizes))]
+        for w, at, _, last in self._walk(words):
+            pieces = out[w] = []
+            while at:
+                pieces.append(w[at - last[at] : at])
+                at -= last[at]
+            pieces.reverse()
         return out
 
-    def _walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
-        """Each word with the lengths of its tokens, from its end to its beginning."""
+    def _walk(self, words: Iterable[str]) -> Iterator[tuple[str, int, list[tuple[float, int]], list[int]]]:
+        """Each word with its length, and by length of its prefixes: best score and minus its pieces, and the last piece's length."""
         root: dict = {}
         for w in words:
             node = root
@@ -113,11 +115,7 @@ class TrieUnigram:
                 last.append(size)
             for c, child in node.items():
                 if c is None:
-                    at, sizes = depth, []
-                    while at:
-                        sizes.append(last[at])
-                        at -= last[at]
-                    yield child, sizes
+                    yield child, depth, best, last
                 else:
                     stack.append((child, depth + 1, c))
 
@@ -176,11 +174,19 @@ def fit(df: DataFrame, model: str, rounds: int = 2, text_col: str = "text") -> d
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             unigram, held = TrieUnigram.of(sent.value), Counter()
-            for b in batches:
-                n = dict(zip(b.column("word").to_pylist(), b.column("n").to_pylist()))
+            n: dict[str, int] = {}
+
+            def add() -> None:
                 for w, pieces in unigram.segment_words(n).items():
                     for p in pieces:
                         held[p] += n[w]
+                n.clear()
+
+            for b in batches:
+                n.update(zip(b.column("word").to_pylist(), b.column("n").to_pylist()))
+                if len(n) >= TRIE_WORDS:
+                    add()
+            add()
             known = [(p, n) for p, n in held.items() if p in unigram.scores]
             yield pa.RecordBatch.from_pydict({"piece": pa.array([p for p, _ in known], pa.string()), "n": pa.array([n for _, n in known], pa.int64())})
 
