@@ -2,9 +2,11 @@
 
 A word's count is the number of pieces of its best segmentation: the one with
 the greatest sum of log probabilities.  Workers insert the words they haven't
-met in a trie and walk it depth first; a node's best score extends those of its
-ancestors by the pieces that end there, so a prefix that many words share is
-scored once, and the end of a word stores its count.  A text's count is the sum
+met in a trie; a node's best score extends those of its ancestors by the pieces
+that end there, so a prefix that many words share is scored once, and the end of
+a word stores its count.  Tries of words of up to ``LEVEL_CHARS`` code points
+are scored level by level, a level at a time in numpy; longer words have a trie of
+their own, walked depth first, with the same result.  A text's count is the sum
 over its words.  No shuffle; memory is bounded by the word cache and one batch.
 
 The pieces come from a sentencepiece file.  Their probabilities are fitted on
@@ -26,15 +28,65 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from habitra.llm.common import map_batches, materialise, small_batches, strings, text_of
-from habitra.llm.tokenizing import CACHE_WORDS, TRIE_WORDS, encoder
+from habitra.llm.tokenizing import CACHE_WORDS, encoder
 
 WORD_MARK = "▁"
 UNKNOWN = -30.0
+#: Words that go in one trie.
+TRIE_WORDS = 100_000
+#: Code points of the longest words that are scored by level; each level costs a few calls, however few its nodes.
+LEVEL_CHARS = 200
+#: Code points of the words of one trie that is scored by level, which has at most as many nodes of some 50 bytes.
+TRIE_CHARS = 2_000_000
+
+
+class Endings:
+    """Pieces read from their last code point on: states, and an open-addressed table of (state, code point) -> state."""
+
+    BITS, NONE = 21, np.uint64(2**64 - 1)  # a code point has 21 bits
+    SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, scores: dict[str, float]):
+        to: dict[int, int] = {}
+        self.score = [-math.inf]  # by state; of those where only longer pieces end, minus infinity
+        self.piece: list[str | None] = [None]
+        for t, s in scores.items():
+            at = 0
+            for c in reversed(t):
+                at = to.setdefault(at << self.BITS | ord(c), len(self.score))
+                if at == len(self.score):
+                    self.score.append(-math.inf)
+                    self.piece.append(None)
+            self.score[at], self.piece[at] = s, t
+        self.score = np.array(self.score)
+        size = max(4, (8 * len(to)).bit_length())
+        self.shift, self.last = np.uint64(64 - size), np.uint64(2**size - 1)
+        self.keys, self.to = np.full(2**size, self.NONE), np.full(2**size, -1, np.int64)
+        key, value = np.fromiter(to, np.uint64, len(to)), np.fromiter(to.values(), np.int64, len(to))
+        slot = key * self.SPREAD >> self.shift
+        while key.size:  # the first of those that want a free slot gets it, the others go on to the next
+            free = np.flatnonzero(self.keys[slot] == self.NONE)
+            won = free[np.unique(slot[free], return_index=True)[1]]
+            self.keys[slot[won]], self.to[slot[won]] = key[won], value[won]
+            key, value, slot = np.delete(key, won), np.delete(value, won), np.delete(slot, won) + np.uint64(1) & self.last
+
+    def step(self, state: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The states after one more code point to the left, -1 where no piece ends so."""
+        key = state.astype(np.uint64) << np.uint64(self.BITS) | char
+        slot = key * self.SPREAD >> self.shift
+        found = self.keys[slot]
+        go = np.flatnonzero((found != key) & (found != self.NONE))
+        while go.size:
+            slot[go] = slot[go] + np.uint64(1) & self.last
+            found[go] = self.keys[slot[go]]
+            go = go[(found[go] != key[go]) & (found[go] != self.NONE)]
+        return np.where(found == key, self.to[slot], -1)
 
 
 class TrieUnigram:
@@ -66,11 +118,91 @@ class TrieUnigram:
             for k in range(1, len(t)):
                 self.ending.setdefault(t[k:], None)
         self.ending |= scores
+        self.states = Endings(scores)
         self.cache: dict[bytes, int] = {}
 
     def count_words(self, words: Iterable[str]) -> dict[str, int]:
-        """Tokens of each word, by one walk over the words' trie."""
-        return {w: -best[depth][1] for w, depth, best, _ in self._walk(words)}
+        """Tokens of each word, by the words' tries."""
+        short, long = self._by_length(words)
+        out = {w: -best[depth][1] for w, depth, best, _ in self._walk(long)}
+        for part in self._parts(short):
+            at, pieces, _, _ = self._levels(part)
+            out.update(zip(part, (-pieces[at]).tolist()))
+        return out
+
+    def piece_counts(self, n: dict[str, int]) -> Counter[str]:
+        """How often each piece stands in the best segmentations of words that were met ``n`` times; code points without a piece are left out."""
+        short, long = self._by_length(n)
+        met: Counter[str] = Counter()
+        for w, pieces in self.segment_words(long).items():
+            for p in pieces:
+                if p in self.scores:
+                    met[p] += n[w]
+        total = np.zeros(len(self.states.score), np.int64)
+        for part in self._parts(short):
+            at, _, back, state = self._levels(part)
+            weight = np.array([n[w] for w in part], np.int64)
+            while at.size:
+                np.add.at(total, state[at], weight)
+                at = back[at]
+                at, weight = at[at > 0], weight[at > 0]
+        met.update({self.states.piece[i]: int(total[i]) for i in np.flatnonzero(total) if i})
+        return met
+
+    @staticmethod
+    def _by_length(words: Iterable[str]) -> tuple[list[str], list[str]]:
+        """Words for the levels, in order, and longer ones."""
+        short, long = [], []
+        for w in words:
+            (short if len(w) <= LEVEL_CHARS else long).append(w)
+        return sorted(short), long
+
+    @staticmethod
+    def _parts(words: list[str]) -> Iterator[list[str]]:
+        """The words of one trie after another."""
+        first = size = 0
+        for k, w in enumerate(words):
+            if size and size + len(w) > TRIE_CHARS:
+                yield words[first:k]
+                first, size = k, 0
+            size += len(w)
+        if size:
+            yield words[first:]
+
+    def _levels(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The trie of sorted distinct words, scored by level: the node of each word's end; by node, minus its pieces, the node before its last piece, and that piece's state, 0 for a code point without one."""
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        start = np.cumsum(length) - length
+        char, parent, back, state, pieces = np.zeros(len(chars) + 1, np.uint64), *np.zeros((3, len(chars) + 1), np.int64), np.zeros(len(chars) + 1, np.int32)
+        best = np.zeros(len(chars) + 1)  # of the node's prefix; node 0 is the root
+        end, score = np.zeros(len(words), np.int64), self.states.score
+        top, active = 1, np.arange(len(words))
+        for depth in range(int(length.max())):
+            active = active[length[active] > depth]
+            c, p = chars[start[active] + depth], end[active]
+            new = np.ones(len(active), bool)  # words of one prefix stand together
+            new[1:] = (c[1:] != c[:-1]) | (p[1:] != p[:-1])
+            end[active] = top - 1 + np.cumsum(new)
+            low, top = top, top + int(new.sum())
+            char[low:top], parent[low:top] = c[new], p[new]
+            node, at, s = np.arange(low, top), np.arange(low, top), np.zeros(top - low, np.int64)
+            best[low:top] = -math.inf
+            for k in range(depth + 1):
+                s = self.states.step(s, char[at])
+                at = parent[at]
+                if k == 0:
+                    alone = np.flatnonzero((s < 0) | (score[s] == -math.inf))
+                    best[low + alone], pieces[low + alone], back[low + alone] = best[at[alone]] + UNKNOWN, pieces[at[alone]] - 1, at[alone]
+                on = s >= 0
+                node, at, s = node[on], at[on], s[on]
+                if not node.size:
+                    break
+                sum_, n = best[at] + score[s], pieces[at] - 1
+                better = (sum_ > best[node]) | (sum_ == best[node]) & (n > pieces[node]) & (score[s] > -math.inf)
+                x = node[better]
+                best[x], pieces[x], back[x], state[x] = sum_[better], n[better], at[better], s[better]
+        return end, pieces, back, state
 
     def segment_words(self, words: Iterable[str]) -> dict[str, list[str]]:
         """The tokens themselves of each word."""
@@ -177,9 +309,7 @@ def fit(df: DataFrame, model: str, rounds: int = 2, text_col: str = "text") -> d
             n: dict[str, int] = {}
 
             def add() -> None:
-                for w, pieces in unigram.segment_words(n).items():
-                    for p in pieces:
-                        held[p] += n[w]
+                held.update(unigram.piece_counts(n))
                 n.clear()
 
             for b in batches:
@@ -187,8 +317,7 @@ def fit(df: DataFrame, model: str, rounds: int = 2, text_col: str = "text") -> d
                 if len(n) >= TRIE_WORDS:
                     add()
             add()
-            known = [(p, n) for p, n in held.items() if p in unigram.scores]
-            yield pa.RecordBatch.from_pydict({"piece": pa.array([p for p, _ in known], pa.string()), "n": pa.array([n for _, n in known], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"piece": pa.array(list(held), pa.string()), "n": pa.array(list(held.values()), pa.int64())})
 
         met = {r["piece"]: r["n"] for r in words.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
         if not met:

@@ -219,6 +219,24 @@ def test_counts_equal_a_full_search(docs):
         assert r.n_words == len(texts[r.doc_id].encode().split())
 
 
+@given(st.lists(st.text("▁abeht日é🤣z", max_size=30), max_size=30, unique=True), st.sampled_from([1, 4, 200]), st.sampled_from([7, 2_000_000]))
+def test_levels_equal_a_full_search(words, most, chars):
+    """Words on either side of the length where the walk changes, and tries cut small."""
+    scores = {"a": -1.0, "b": -1.0, "ab": -2.0, "aba": -2.5, "e": -3.0, "the": -2.0, "▁": -1.5, "▁th": -1.0, "日": -4.0, "é日": -1.0, "zzzz": -1.0}
+    model = token_counts.TrieUnigram.of(scores)
+    before = token_counts.LEVEL_CHARS, token_counts.TRIE_CHARS
+    token_counts.LEVEL_CHARS, token_counts.TRIE_CHARS = most, chars
+    try:
+        words = [w for w in words if w]
+        assert model.count_words(words) == {w: brute_unigram(w, scores) for w in words}
+        met = model.piece_counts({w: k + 1 for k, w in enumerate(words)})
+        pieces = model.segment_words(words)
+        for p in scores:
+            assert met[p] == sum((k + 1) * pieces[w].count(p) for k, w in enumerate(words))
+    finally:
+        token_counts.LEVEL_CHARS, token_counts.TRIE_CHARS = before
+
+
 def test_counts_equal_the_library(docs):
     model = token_counts.TrieUnigram(tokenizer_path(PIECE_BPE))
     lib = tokenizers.models.Unigram([("<unk>", -100.0), *model.scores.items()], 0, False)
