@@ -61,8 +61,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    machine = quality_fm.fit(docs, table(spark, sf_dir, "labels"), "quality")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    machine = quality_fm.fit(docs, table(spark, sf_dir, "labels"), "quality", metadata=("n_chars",))
     scored = quality_fm.score(docs, machine)
     return scored.select("doc_id", quality_fm.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"))
 

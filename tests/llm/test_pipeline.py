@@ -32,7 +32,7 @@ def test_order_and_columns(stages):
 
 
 def test_filters_equal_their_rules(spark, stages):
-    machine = quality_fm.fit(stages[0], spark.read.parquet(f"{SF}/labels.parquet"))
+    machine = quality_fm.fit(stages[0], spark.read.parquet(f"{SF}/labels.parquet"), metadata=("n_chars",))
     want = {r.doc_id for r in quality_fm.score(stages[0], machine).where(F.col("score") >= 0.7).collect()}
     assert {r.doc_id for r in stages[1].collect()} == want
     kept = {r.doc_id for r in quality_rules.apply_policy(quality_rules.ledger(stages[1])).where("kept").collect()}

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from habitra.llm import html_extract, html_train, quality_fm, quality_rules
-from habitra.llm.queries import OP10_SQL
+from habitra.llm.queries import OP10_SQL, op9_quality
 
 
 def brute_rules(text):
@@ -104,6 +104,29 @@ def test_classifier_odd_rows(spark, odd, none):
     assert quality_fm.keep(odd, blank, 0.4).columns == odd.columns and quality_fm.keep(odd, blank, 0.4).count() == 9
 
 
+def test_classifier_reads_metadata(spark):
+    """Texts that say nothing, and labels that follow a number's size and a name; nulls, NaN and clashing names."""
+    rows = [(i, "the same text", 10.0 if i % 2 else 90.0, "x" if i % 3 else "y", "f") for i in range(200)]
+    rows += [(1000, "the same text", None, None, None), (1001, None, float("nan"), "unseen", "f"), (1002, "", float("inf"), "x", "f"), (1003, "", -5.0, "x", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, x double, `a b` string, fields string")
+    labels = spark.createDataFrame([(i, int(i % 2 or i % 3 == 0)) for i in range(200)], "doc_id long, quality int")
+    machine = quality_fm.fit(df, labels, metadata=("x", "a b"))
+    got = {r.doc_id: r.score for r in quality_fm.score(df, machine).collect()}
+    assert all((got[i] > 0.5) == bool(i % 2 or i % 3 == 0) for i in range(200)) and len(got) == 204
+    kept = quality_fm.keep(df, machine, 0.5)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, s in got.items() if s >= 0.5}
+    assert quality_fm.score(df.limit(0), quality_fm.fit(df.limit(0), labels, metadata=("x",))).count() == 0
+    assert [r[0] for r in df.where("doc_id in (0, 1000, 1003)").orderBy("doc_id").select(quality_fm.fields(df, ("x", "a b"))).collect()] == [["x:6", "a b=y"], [], ["x:-2", "a b=x"]]
+
+
+def test_query_is_as_good_with_metadata(spark):
+    d = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality")
+    rows = op9_quality(spark, d).where("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r.predicted == r.quality for r in rows]) >= 0.95
+    assert not [r for r in rows if r.quality == 1 and not r.predicted]
+
+
 def test_labeller_on_new_pages():
     blocks, pages = html_train.accuracy(html_extract.Labeller.load(), 120, seed=12345)
     assert blocks >= 0.99 and pages >= 0.9
