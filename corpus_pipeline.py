@@ -19,7 +19,7 @@ from habitra.llm.queries import WORD_BPE, tokenizer_path
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine scores 0.7 or more."""
-    return quality_fm.keep(docs, quality_fm.fit(docs, table(spark, sf_dir, "labels"), "quality"))
+    return quality_fm.keep(docs, quality_fm.fit(docs, table(spark, sf_dir, "labels"), "quality", metadata=("n_chars",)))
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
