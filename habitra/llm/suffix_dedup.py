@@ -13,12 +13,19 @@ global sort, and only suffixes whose bucket is still shared are refined on:
    its context (all strings that have this anchor), sorted in buckets.  Equal
    contexts are settled here: every document but the least one loses them.
 2. Contexts that differ from another document's but share the anchor and 17
-   bytes on a side are refined to their single strings, sorted again.
+   bytes on a side are refined to their single strings, sorted again in buckets
+   of their own identifiers; a block sends one for each distinct string.
+
+An anchor with more postings than a bucket should hold is hot: its postings are
+dealt by context instead, and all its contexts are refined.  Hot anchors are
+found in every ``HOT_STRIDE``-th block or fewer; which ones are found changes the
+plan, never the result.
 
 Blocks of whole documents go to the shared folder; a block sends one posting
 for each distinct context, so hot passages are aggregated before the shuffle,
 and gets back two bits for each posting.  No task holds more than a block or
-one bucket of postings, and matches never cross documents.
+one bucket of postings; a context or a string has at most one posting for each
+block.  Matches never cross documents.
 
 Cases: a null or empty text has no strings and stays (null stays null in
 ``text``); texts shorter than ``LENGTH`` lose nothing; a null doc_id counts as greater
@@ -51,6 +58,8 @@ BUCKET_BYTES = 12 << 20
 SMALL_INPUT = 1 << 30
 GROWTH = 4
 SLICE_BYTES = 1 << 19
+#: Hot anchors are looked for in one of so many blocks, and in about ``HOT_BLOCKS`` at most.
+HOT_STRIDE, HOT_BLOCKS = 32, 1024
 NO_ID = (1 << 63) - 1
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -90,7 +99,7 @@ def least(h: np.ndarray, width: int) -> np.ndarray:
 class Scan:
     """Anchors and postings of a block: the same texts give the same arrays in the same order."""
 
-    def __init__(self, texts: list[bytes], doc_ids: list[int], buckets: int):
+    def __init__(self, texts: list[bytes], doc_ids: list[int], buckets: int, hot: np.ndarray = np.zeros(0, np.uint64)):
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
         self.ids = np.array(doc_ids, np.int64)
@@ -115,14 +124,20 @@ class Scan:
             i = j
         self.left, self.right, self.doc, key, context, before, after = (np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(found, (np.int64, np.int64, np.int64, np.uint64, np.uint32, np.uint16, np.uint16)))
         doc_id = self.ids[self.doc]
-        whole = context.astype(np.uint64) << np.uint64(32) | before.astype(np.uint64) << np.uint64(16) | after
+        whole = whole_context(context, before, after)
+        anchor = key
+        if len(hot):  # their contexts take the place of the anchor, and an even side says so
+            is_hot = np.isin(key, hot)
+            key = np.where(is_hot, mix(key, whole) >> np.uint64(16), key)
+            before = np.where(is_hot, np.maximum(before & np.uint16(0xFFFE), np.uint16(2)), before)
+            whole = whole_context(context, before, after)
         # anchors come in the documents' order, which a stable sort keeps
         order = np.lexsort((whole, key) if (np.diff(self.ids) >= 0).all() else (doc_id, whole, key))
         k, w = key[order], whole[order]
         new = np.ones(len(order), bool)
         new[1:] = (k[1:] != k[:-1]) | (w[1:] != w[:-1])
         first = np.flatnonzero(new)
-        self.key, self.context, self.before, self.after = (x[order[first]] for x in (key, context, before, after))
+        self.key, self.anchor, self.context, self.before, self.after = (x[order[first]] for x in (key, anchor, context, before, after))
         self.bucket = bucket_of(self.key, buckets)
         self.least_id = doc_id[order][first]
         self.of_least = order[first]  # an anchor with the least document
@@ -158,21 +173,33 @@ class Scan:
         after[has_after] = side(a[has_after] + Q) | np.uint16(1)
         return left, right, doc, key, context, before, after
 
-    def windows(self, contested: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
-        """Single strings of the contested postings, by bucket, key and identifier: those, the document, posting and start of each."""
+    def windows(self, contested: np.ndarray, buckets: int) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+        """Single strings of the contested postings.
+
+        Of each distinct one: bucket, identifier, anchor and least document, in
+        order; and of all: number of the distinct one, if the document is a
+        later one than its least, posting and start.
+        """
         anchors = self.of_least[contested]
         n = self.right[anchors] - self.left[anchors] + 1
-        row = np.repeat(np.arange(len(anchors)), n)  # keys ascend, and so do buckets
+        row = np.repeat(np.arange(len(anchors)), n)
         start = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + self.left[anchors][row]
-        key = self.key[contested][row]
-        string, posting = self.h[start], contested[row]
-        doc_id = self.least_id[contested][row]
-        order = np.lexsort((start, doc_id, string, key))
-        return bucket_of(key, buckets)[order], key[order], string[order], doc_id[order], posting[order], start[order]
+        string, key, doc_id = self.h[start], self.anchor[contested][row], self.least_id[contested][row]
+        order = np.lexsort((doc_id, key, string))
+        string, key, doc_id = string[order], key[order], doc_id[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (string[1:] != string[:-1]) | (key[1:] != key[:-1])
+        first, group = np.flatnonzero(new), np.cumsum(new) - 1
+        distinct = (bucket_of(string[first] >> np.uint64(16), buckets), string[first], key[first], doc_id[first])
+        return distinct, (group, doc_id > doc_id[first][group], contested[row][order], start[order])
+
+
+def whole_context(context: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return context.astype(np.uint64) << np.uint64(32) | before.astype(np.uint64) << np.uint64(16) | after
 
 
 def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets of 48-bit keys, in the keys' order."""
+    """Buckets of 48-bit identifiers, in their order."""
     return (key >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)
 
 
@@ -205,7 +232,7 @@ def by_bucket(bucket: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, by
 
 def settle(key: np.ndarray, context: np.ndarray, before: np.ndarray, after: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of all postings of a bucket: which are repeats of a lesser document's context, and which must be refined to strings."""
-    whole = context.astype(np.uint64) << np.uint64(32) | before.astype(np.uint64) << np.uint64(16) | after
+    whole = whole_context(context, before, after)
     order = np.lexsort((doc, whole, key))
     cols = [x[order] for x in (key, whole, before, after)]
     d = doc[order]
@@ -214,7 +241,7 @@ def settle(key: np.ndarray, context: np.ndarray, before: np.ndarray, after: np.n
     owner = d[first]  # of each distinct context the least document
     repeat = np.zeros(len(order), bool)
     repeat[order] = d > owner[np.cumsum(new) - 1] if len(order) else False
-    open_ = np.zeros(len(first), bool)
+    open_ = (cols[2][first] != 0) & (cols[2][first] & np.uint16(1) == 0)  # contexts of hot anchors
     for side in (cols[2][first], cols[3][first]):  # contexts with the same anchor and side but another owner
         pair = np.lexsort((owner, side, cols[0][first]))
         k, s, o = cols[0][first][pair], side[pair], owner[pair]
@@ -277,7 +304,7 @@ class _Names:
     """What the map functions of one run need to know."""
 
     def __init__(self, id_col: str, text_col: str, buckets: int):
-        self.id_col, self.text_col, self.buckets = id_col, text_col, buckets
+        self.id_col, self.text_col, self.buckets, self.hot = id_col, text_col, buckets, np.zeros(0, np.uint64)
 
     def load(self, data: bytes) -> tuple[pa.RecordBatch, list[bytes], Scan]:
         with pa.ipc.open_stream(data) as r:
@@ -285,7 +312,7 @@ class _Names:
         batch = table.to_batches()[0]
         texts = [x or b"" for x in batch.column(self.text_col).cast(pa.binary()).to_pylist()]
         ids = [NO_ID if x is None else x for x in batch.column(self.id_col).to_pylist()]
-        return batch, texts, Scan(texts, ids, self.buckets)
+        return batch, texts, Scan(texts, ids, self.buckets, self.hot)
 
 
 def _verdict(parts: list[dict] | None, counts: np.ndarray, column: str) -> np.ndarray:
@@ -315,23 +342,41 @@ def _answers(postings: DataFrame, types: tuple[type, ...], decide, columns: tupl
     return told.groupBy("block").agg(F.collect_list(F.struct("bucket", *columns)).alias("parts"))  # as many entries as buckets
 
 
-def _strings_repeat(key: np.ndarray, string: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray]:
-    order = np.lexsort((doc, string, key))
-    k, s, d = key[order], string[order], doc[order]
-    new = np.append(True, (k[1:] != k[:-1]) | (s[1:] != s[:-1])) if len(order) else np.zeros(0, bool)
+def _strings_repeat(string: np.ndarray, key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray]:
+    order = np.lexsort((doc, key, string))
+    s, k, d = string[order], key[order], doc[order]
+    new = np.append(True, (s[1:] != s[:-1]) | (k[1:] != k[:-1])) if len(order) else np.zeros(0, bool)
     out = np.zeros(len(order), bool)
     out[order] = d > d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else False
     return (out,)
 
 
+def _hot_anchors(blocks: DataFrame, names: _Names, count: int, limit: int) -> np.ndarray:
+    """Anchors that have more than ``limit`` postings, by those of some blocks; no more than all postings over ``limit``."""
+    stride = max(HOT_STRIDE, -(-count // HOT_BLOCKS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for data in b.column("data").to_pylist():
+                key, n = np.unique(names.load(data)[2].key, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(n)], ["key", "n"])
+        release()
+
+    looked = blocks.where(F.pmod(F.xxhash64("block"), F.lit(stride)) == 0).select("data").mapInArrow(run, "key long, n long")
+    hot = looked.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") * stride > limit).collect()
+    return np.array(sorted(r["key"] for r in hot), np.uint64)
+
+
 Spans = list[list[int]]
 
 
 def _searched(df: DataFrame, id_col: str, text_col: str, out: T.StructType, finish: Callable[[pa.RecordBatch, list[bytes], list[Spans]], list[pa.Array]]) -> DataFrame:
     """Rows of type ``out`` that ``finish`` makes of a block's rows, its texts' bytes and the spans to remove from each."""
     blocks = _blocks(df, id_col, text_col)
-    total = blocks.agg(F.sum("bytes")).first()[0] or 0
-    names = _Names(id_col, text_col, max(1, -(-total // grown(BUCKET_BYTES, total))))
+    count, total = blocks.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    bucket_bytes = grown(BUCKET_BYTES, total)
+    names = _Names(id_col, text_col, max(1, -(-total // bucket_bytes)))
+    names.hot = _hot_anchors(blocks, names, count, bucket_bytes // SIDE)  # a posting stands for about SIDE bytes
 
     def rows_of(bucketed) -> pa.RecordBatch | None:
         rows = list(bucketed[1])
@@ -358,8 +403,8 @@ def _searched(df: DataFrame, id_col: str, text_col: str, out: T.StructType, fini
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in each(batches):
             scan = names.load(r["data"])[2]
-            bucket, key, string, doc, _, _ = scan.windows(contested(scan, r["parts"]), names.buckets)
-            out = rows_of((r["block"], by_bucket(bucket, key, string, doc)))
+            distinct, _ = scan.windows(contested(scan, r["parts"]), names.buckets)
+            out = rows_of((r["block"], by_bucket(*distinct)))
             if out:
                 yield out
         release()
@@ -381,8 +426,8 @@ def _searched(df: DataFrame, id_col: str, text_col: str, out: T.StructType, fini
                 whole = repeat[scan.posting] | (scan.ids[scan.doc] > scan.least_id[scan.posting])
                 np.add.at(gone, scan.left[whole], 1)
                 np.add.at(gone, scan.right[whole] + LENGTH, -1)
-                bucket, _, _, _, posting, start = scan.windows(contested(scan, r["parts"]), names.buckets)
-                single = np.flatnonzero(_verdict(r["strings"], _counts(bucket), "repeat"))
+                distinct, (group, later, posting, start) = scan.windows(contested(scan, r["parts"]), names.buckets)
+                single = np.flatnonzero(_verdict(r["strings"], _counts(distinct[0]), "repeat")[group] | later)
                 if len(single):  # all anchors of a contested posting's least document have the same strings
                     offset = start[single] - scan.left[scan.of_least[posting[single]]]
                     order = np.argsort(scan.posting, kind="stable")

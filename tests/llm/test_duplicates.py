@@ -95,8 +95,12 @@ def brute_repeats(rows):
     return out
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_repeats(docs, odd, monkeypatch, small):
+@pytest.mark.parametrize("small, hot", [(False, None), (True, None), (True, 3), (False, 1)])
+def test_repeats(docs, odd, monkeypatch, small, hot):
+    if hot:  # anchors of more postings are dealt by context
+        real, found = suffix_dedup._hot_anchors, []
+        monkeypatch.setattr(suffix_dedup, "HOT_STRIDE", 1)
+        monkeypatch.setattr(suffix_dedup, "_hot_anchors", lambda blocks, names, count, limit: found.append(real(blocks, names, count, hot)) or found[0])
     if small:  # many blocks, slices and buckets
         monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 30_000)
         monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 500)
@@ -105,6 +109,22 @@ def test_repeats(docs, odd, monkeypatch, small):
     got = sorted(((r.doc_id, bytes(r.kept_bytes)) for r in suffix_dedup.dedup(both).collect()), key=str)
     want = sorted(brute_repeats([(r.doc_id, (r.text or "").encode()) for r in both.collect()]), key=str)
     assert got == want
+    assert not hot or len(found[0]) > 20
+
+
+def test_an_anchor_in_many_contexts(spark, monkeypatch):
+    """One anchor stands in every document with other neighbours; its contexts don't meet in one bucket."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 3000)
+    monkeypatch.setattr(suffix_dedup, "HOT_STRIDE", 1)
+    g = np.random.default_rng(5)
+    text = lambda n: "".join(map(chr, g.integers(97, 123, n)))
+    shared = text(66)
+    rows = [(i, text(int(g.integers(0, 60))) + shared[int(g.integers(0, 10)) :] + text(int(g.integers(0, 60)))) for i in range(300)]
+    seen, real = [], suffix_dedup._hot_anchors
+    monkeypatch.setattr(suffix_dedup, "_hot_anchors", lambda *a: seen.append(real(*a)) or seen[0])
+    got = sorted((r.doc_id, bytes(r.kept_bytes)) for r in suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert len(seen[0]) and got == sorted(brute_repeats([(i, t.encode()) for i, t in rows]))
 
 
 def test_repeats_odd_rows(odd, none):
