@@ -99,16 +99,16 @@ def perc_total(pixels: DataFrame, bins: dict[int, str], order: Sequence[str], th
 
 
 def nodata_mask(pixels: DataFrame, band: str = "soc0_100", limit: float = -9000) -> DataFrame:
-    """Pixels, all bands, of places where ``band`` is above ``limit``."""
+    """Pixels, all bands, of places where ``band`` is above ``limit``; dealt by scene, as ``spatial_aggregate`` needs them."""
     place = Window.partitionBy("chip", "ts", "y", "x")
-    return pixels.withColumn("_test", F.max(F.when(F.col("band") == band, F.col("value"))).over(place)).where(F.col("_test") > limit).drop("_test")
+    return pixels.repartition("chip", "ts").withColumn("_test", F.max(F.when(F.col("band") == band, F.col("value"))).over(place)).where(F.col("_test") > limit).drop("_test")
 
 
 def apply_mask(pixels: DataFrame, band: str, cloudy) -> DataFrame:
-    """The other bands, NULL where ``cloudy`` of the mask band's value at the same place holds or is missing."""
+    """The other bands, NULL where ``cloudy`` of the mask band's value at the same place holds or is missing; dealt by scene."""
     place = Window.partitionBy("chip", "ts", "y", "x")
     seen = F.max(F.when(F.col("band") == band, F.col("value"))).over(place)
-    return pixels.withColumn("_mask", seen).where(F.col("band") != band).withColumn("value", F.when(~cloudy(F.col("_mask")), F.col("value"))).drop("_mask")
+    return pixels.repartition("chip", "ts").withColumn("_mask", seen).where(F.col("band") != band).withColumn("value", F.when(~cloudy(F.col("_mask")), F.col("value"))).drop("_mask")
 
 
 def range_join(points: DataFrame, pixels: DataFrame, buffer: float) -> DataFrame:

@@ -104,8 +104,8 @@ def feat_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feat_c(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Status and priority of orders with an odd customer."""
-    o = read(spark, sf_dir, "orders").where("o_custkey % 2 = 1")
+    """Status and month of all orders."""
+    o = read(spark, sf_dir, "orders")
     return o.select(F.col("o_orderkey").alias("gbifid"), F.year("o_orderdate").cast("double").alias("year"), F.when(F.col("o_orderstatus") == "F", "PRESENT").otherwise("ABSENT").alias("occurrencestatus"), F.month("o_orderdate").cast("double").alias("zone"))
 
 
@@ -142,6 +142,6 @@ feat_a AS (
 feat_b AS (SELECT l_orderkey AS gbifid, sum(l_quantity) AS quantity, CASE WHEN l_orderkey % 7 <> 0 THEN max(l_discount) END AS discount FROM lineitem GROUP BY l_orderkey),
 feat_c AS (
   SELECT o_orderkey AS gbifid, CAST(year(o_orderdate) AS DOUBLE) AS year, CASE WHEN o_orderstatus = 'F' THEN 'PRESENT' ELSE 'ABSENT' END AS occurrencestatus,
-         CAST(month(o_orderdate) AS DOUBLE) AS zone FROM orders WHERE o_custkey % 2 = 1),
+         CAST(month(o_orderdate) AS DOUBLE) AS zone FROM orders),
 preds AS (SELECT doc_id, CAST(quality AS INT) AS truth, CASE WHEN (doc_id * 7 + quality * 3) % 5 > 1 THEN 1 ELSE 0 END AS pred FROM labels)
 """

@@ -18,7 +18,7 @@ def test_a_chip_for_every_point(spark, sf):
         near = (x >= r.x - 1500) & (x <= r.x + 1500) & (y >= r.y - 1500) & (y <= r.y + 1500)
         want[r.id] = (int(near.sum()), int(ids[near].sum()))
     assert len(want) == spark.read.parquet(f"{sf}/orders.parquet").count()
-    assert {r.point: (r.n, r.total) for r in catalog.QUERIES["chip_range_join_all"](spark, sf).collect()} == want
+    assert {r.point: (r.n, r.total) for r in catalog.QUERIES["chip_range_join"](spark, sf).collect()} == want
 
 
 def test_mean_distance_of_every_point(spark, sf):
