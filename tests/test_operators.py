@@ -289,6 +289,33 @@ def test_distances_in_blocks(spark, monkeypatch):
         assert r.mean_euclidean_dist == pytest.approx(np.sqrt(((own - at[r.id]) ** 2).sum(1)).mean())
 
 
+def test_range_totals_are_those_of_the_pairs(spark, monkeypatch):
+    g = np.random.default_rng(5)
+    # steps of half a buffer, so that many lie on borders, on both sides of 0; copies, missing places and missing values
+    rows = [(i, float(x) * 0.05, float(y) * 0.05) for i, (x, y) in enumerate(g.integers(-25, 25, size=(700, 2)))] + [(None, 0.1, 0.1), (None, 9.0, 9.0), (1000, None, 0.1), (1001, 0.1, None)]
+    points = spark.createDataFrame(rows, "point long, px double, py double")
+    pixels = points.toDF("pixel", "x", "y")
+    want = {}
+    for point, x, y in rows:
+        if x is not None and y is not None:
+            near = [i for i, u, v in rows if u is not None and v is not None and x - 0.1 <= u <= x + 0.1 and y - 0.1 <= v <= y + 0.1]
+            n, total = want.get(point, (0, None))
+            ids = [i for i in near if i is not None] + ([total] if total is not None else [])
+            want[point] = (n + len(near), sum(ids) if ids else None)
+    pairs = chips.range_join(points, pixels, 0.1).groupBy("point").agg(F.count("*").alias("n"), F.sum("pixel").alias("total"))
+    assert {r.point: (r.n, r.total) for r in pairs.collect()} == want
+    for block in (1 << 18, 50):
+        monkeypatch.setattr(chips, "TILE_BLOCK", block)
+        assert {r.point: (r.n, r.total) for r in chips.range_totals(points, pixels, 0.1).collect()} == want
+
+
+def test_range_totals_of_a_crowd(spark):
+    # 1.6e9 pairs, which can't be made one by one
+    crowd = spark.range(40_000).select(F.col("id").alias("point"), (F.col("id") % 200).cast("double").alias("px"), F.lit(1.0).alias("py"))
+    got = chips.range_totals(crowd, crowd.toDF("pixel", "x", "y"), 1500.0).agg(F.count("*"), F.min("n"), F.max("n"), F.min("total"), F.max("total")).first()
+    assert tuple(got) == (40_000, 40_000, 40_000, 799_980_000, 799_980_000)
+
+
 def test_utm_and_back(spark):
     df = spark.createDataFrame([(-122.1, 47.6, 10, False), (-120.0, 0.0, 10, False), (25.3, -33.9, 35, True), (27.0, 79.9, 35, False), (22.1, -79.5, 34, True)], "lon double, lat double, z int, s boolean")
     x, y = geo.utm(F.col("lon"), F.col("lat"), F.col("z"), "WGS84", F.col("s"))
