@@ -289,6 +289,29 @@ def test_distances_in_blocks(spark, monkeypatch):
         assert r.mean_euclidean_dist == pytest.approx(np.sqrt(((own - at[r.id]) ** 2).sum(1)).mean())
 
 
+def test_distances_between_copies_and_blocks(spark, monkeypatch):
+    g = np.random.default_rng(9)
+    at = g.integers(0, 12, size=(400, 2)) * 0.1
+    rows = [(i % 390, "s" if i < 300 else "t", float(x), float(y)) for i, (x, y) in enumerate(at)]  # some ids twice
+    df = spark.createDataFrame([*rows, (900, "s", None, 1.0), (901, "u", None, None), (902, None, 1.0, 1.0)], "id int, species string, x double, y double")
+    want = {(901, "u"): None, (900, "s"): None}
+    for i, s, _, _ in rows:
+        own = np.array([[x, y] for _, t, x, y in rows if t == s])
+        want[i, s] = np.mean([np.hypot(*(own - [x, y]).T).mean() for k, t, x, y in rows if (k, t) == (i, s)])
+    for block in (1 << 15, 30):
+        monkeypatch.setattr(occurrences, "PAIR_BLOCK", block)
+        got = {(r.id, r.species): r.mean_euclidean_dist for r in occurrences.mean_distance(df).collect()}
+        assert got.keys() == want.keys()
+        assert all(got[k] == (pytest.approx(v) if v is not None else None) for k, v in want.items())
+
+
+def test_distances_of_a_crowd(spark):
+    # 2.5e9 pairs of points at 10 places, which can't be made one by one
+    crowd = spark.range(50_000).select("id", F.lit("s").alias("species"), (F.col("id") % 10).cast("double").alias("x"), F.lit(2.0).alias("y"))
+    got = occurrences.mean_distance(crowd).groupBy((F.col("id") % 10).alias("at")).agg(F.count("*").alias("n"), F.min("mean_euclidean_dist").alias("a"), F.max("mean_euclidean_dist").alias("b")).collect()
+    assert {r["at"]: (r.n, r.a, r.b) for r in got} == {i: (5000, m, m) for i in range(10) for m in [sum(abs(i - j) for j in range(10)) / 10]}
+
+
 def test_range_totals_are_those_of_the_pairs(spark, monkeypatch):
     g = np.random.default_rng(5)
     # steps of half a buffer, so that many lie on borders, on both sides of 0; copies, missing places and missing values
