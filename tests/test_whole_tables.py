@@ -29,3 +29,8 @@ def test_mean_distance_of_every_point(spark, sf):
     for r in rows:
         own = species == r.species
         assert got[r.id][0] == r.species and abs(got[r.id][1] - np.hypot(x[own] - r.x, y[own] - r.y).mean()) < 0.006
+
+
+def test_sampled_places_are_reckoned_once(spark, sf):
+    plan = catalog.sampled_distances(spark, sf)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "parquet" in plan and "atanh" not in plan  # they are read from files, not projected again by every reader
