@@ -34,3 +34,10 @@ def test_mean_distance_of_every_point(spark, sf):
 def test_sampled_places_are_reckoned_once(spark, sf):
     plan = catalog.sampled_distances(spark, sf)._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "parquet" in plan and "atanh" not in plan  # they are read from files, not projected again by every reader
+
+
+def test_presence_and_absence_share_the_candidates(spark, sf, monkeypatch):
+    calls, plain = [], catalog.candidate_table
+    monkeypatch.setattr(catalog, "candidate_table", lambda s, d: calls.append(d) or plain(s, d))
+    catalog.QUERIES["union_presence_absence"](spark, sf)
+    assert calls == [sf]
