@@ -268,6 +268,21 @@ def test_samples_take_the_first_in_hash_order(spark):
         assert {r.id for r in got if r.g == g} == set(order(g)[: round(len(order(g)) * 0.25)])
 
 
+@pytest.mark.parametrize("few", [1, 10_000])
+def test_samples_of_repeated_keys_and_many_groups(spark, monkeypatch, few):
+    import hashlib
+
+    from habitra import session
+
+    monkeypatch.setattr(session, "SMALL_ROWS", few)
+    rows = [(i // 5, "a" if i % 4 else "b", i) for i in range(4000)]
+    got = occurrences.sample_per_group(spark.createDataFrame(rows, "id int, g string, n int"), 777, ["g"], "id")
+    for g in "ab":
+        keys = sorted((i for i, k, _ in rows if k == g), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:777]
+        mine = [r for r in got.collect() if r.g == g]
+        assert sorted(r.id for r in mine) == sorted(keys) and len({r.n for r in mine}) == 777
+
+
 def test_absences_need_a_pool(spark):
     points = spark.createDataFrame([(i, s, "P") for i, s in enumerate("a" * 5 + "b" * 3 + "c" * 4)], "id int, species string, status string")
     species = spark.createDataFrame([("a", 0), ("b", 0), ("c", 1)], "species string, candidate int")

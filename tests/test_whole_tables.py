@@ -41,3 +41,10 @@ def test_presence_and_absence_share_the_candidates(spark, sf, monkeypatch):
     monkeypatch.setattr(catalog, "candidate_table", lambda s, d: calls.append(d) or plain(s, d))
     catalog.QUERIES["union_presence_absence"](spark, sf)
     assert calls == [sf]
+
+
+def test_absences_join_observations_once(spark, sf, monkeypatch):
+    calls, plain = [], catalog.S.obs
+    monkeypatch.setattr(catalog.S, "obs", lambda s, d: calls.append(d) or plain(s, d))
+    catalog.QUERIES["pseudo_absence"](spark, sf)
+    assert calls == [sf]
