@@ -320,6 +320,18 @@ def test_distances_between_copies_and_blocks(spark, monkeypatch):
         assert all(got[k] == (pytest.approx(v) if v is not None else None) for k, v in want.items())
 
 
+def test_distance_of_a_group_is_the_mean_of_its_keys(spark, monkeypatch):
+    g = np.random.default_rng(10)
+    rows = [(i // 3 if i < 60 else i, "s" if i % 2 else "t", float(x), float(y)) for i, (x, y) in enumerate(g.integers(0, 30, size=(300, 2)))]  # some ids up to three times
+    df = spark.createDataFrame([*rows, (900, "s", None, 1.0), (901, "u", None, None), (3, "t", 1.0, None), (902, None, 1.0, 1.0), (903, "v", 1.0, 1.0)], "id int, species string, x double, y double")
+    for block in (1 << 15, 30):
+        monkeypatch.setattr(occurrences, "PAIR_BLOCK", block)
+        each = occurrences.mean_distance(df).groupBy("species").agg(F.avg("mean_euclidean_dist").alias("d"))
+        want, got = ({r.species: r.d for r in x.collect()} for x in (each, occurrences.group_distance(df, "d")))
+        assert got.keys() == want.keys() == {"s", "t", "u", "v"} and got["u"] is None and got["v"] == 0
+        assert got["s"] == pytest.approx(want["s"], rel=1e-12) and got["t"] == pytest.approx(want["t"], rel=1e-12)
+
+
 def test_distances_of_a_crowd(spark):
     # 2.5e9 pairs of points at 10 places, which can't be made one by one
     crowd = spark.range(50_000).select("id", F.lit("s").alias("species"), (F.col("id") % 10).cast("double").alias("x"), F.lit(2.0).alias("y"))

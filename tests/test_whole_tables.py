@@ -48,3 +48,11 @@ def test_absences_join_observations_once(spark, sf, monkeypatch):
     monkeypatch.setattr(catalog.S, "obs", lambda s, d: calls.append(d) or plain(s, d))
     catalog.QUERIES["pseudo_absence"](spark, sf)
     assert calls == [sf]
+
+
+def test_candidates_ask_one_distance_of_a_group(spark, sf, monkeypatch):
+    def each(*_, **__):
+        raise AssertionError("every point looks for its own mean")
+
+    monkeypatch.setattr(catalog.occurrences, "mean_distance", each)
+    assert catalog.QUERIES["sample_per_group"](spark, sf).count() > 0
