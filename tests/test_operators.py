@@ -631,3 +631,15 @@ def test_streams(spark, sf, tmp_path):
         q = made.writeStream.outputMode("complete" if "window" in made.columns else "append").format("memory").queryName("made").trigger(availableNow=True).start()
         q.awaitTermination()
         assert spark.table("made").count() > 0
+
+
+@pytest.mark.parametrize("few", [2, 10_000])
+def test_small_tables_are_reckoned_once(spark, monkeypatch, few):
+    from habitra import session
+
+    monkeypatch.setattr(session, "SMALL_ROWS", few)
+    df = spark.createDataFrame([(1, "a", None, date(2020, 1, 2)), (2, None, 0.5, None), (None, "c", float("nan"), date(1900, 1, 1))], "i int, s string, x double, d date").withColumn("r", F.rand())
+    held = session.small(df)
+    assert held.schema == df.schema and str(held.orderBy("i").collect()) == str(held.orderBy("i").collect())
+    assert sorted(map(str, held.drop("r").collect())) == sorted(map(str, df.drop("r").collect()))
+    assert session.small(df.limit(0)).count() == 0
